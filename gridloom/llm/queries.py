@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import exact_dedup, fingerprint, pii, secrets, url_filter
+from gridloom.llm import exact_dedup, fingerprint, packing, pieces, pii, secrets, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_packing": packing.op1_packing,
         "op2_pii": pii.op2_pii,
+        "op3_pieces": pieces.op3_pieces,
         "op5_fingerprints": fingerprint.op5_fingerprints,
         "op6_secrets": secrets.op6_secrets,
         "op7_url_filter": url_filter.op7_url_filter,
