@@ -13,7 +13,9 @@ purity of ``REJECT`` or more is blocked.
 
 Counts are sums over (host, template) that combine on the map side, so a host with a third
 of all pages is one short row from each task; the way back to the pages is a join whose
-hot keys are spread over ``SALTS`` copies of each tree row.
+hot keys are spread over ``SALTS`` copies of each tree row. The tree's tables, a row for each
+distinct (host, segments), are written to the shared folder between steps, which keeps
+every plan short.
 
 Defined cases: a null url or one without :// has empty host and path, an empty template and
 the overall verdict; page ids may be null or repeated; an empty table gives an empty result.
@@ -27,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import table
+from gridloom.llm.common import materialise, table
 
 DEPTH, FAN_OUT, RARE, ALPHA, Z, REJECT, SALTS, MOST_RULES = 3, 20, 0.05, 2.0, 1.96, 0.5, 16, 10_000
 
@@ -97,6 +99,7 @@ def generalise(urls: DataFrame) -> DataFrame:
         here = here.join(rare, ["__uf_host", "__uf_t", "__uf_seg"], "left")
         name = F.when(F.col("__uf_rare"), "{*}").otherwise(F.col("__uf_seg"))
         out = here.withColumn("__uf_t", F.when(F.col("__uf_seg").isNull(), F.col("__uf_t")).otherwise(F.concat("__uf_t", F.lit("/"), name))).drop("__uf_seg", "__uf_rare")
+        out = materialise(out, f"templates-{depth}")
     return out
 
 
@@ -131,9 +134,10 @@ def judge(pages: DataFrame, url_col: str = "url", rules: Sequence[Rule] = RULES)
     url = F.col(url_col).cast("string")
     rows = apply_rules(pages.withColumn("__uf_host", host_of(url)).withColumn("__uf_path", path_of(url)), rules).withColumn("__uf_segs", segments(F.col("__uf_path")))
     urls = rows.groupBy("__uf_host", "__uf_segs").agg(F.count(F.lit(1)).alias("__uf_n"), F.count_if(F.col("__uf_label") == "block").alias("__uf_blocked"), F.count("__uf_label").alias("__uf_labelled"))
-    named = generalise(urls)
-    purity = tree(named.groupBy("__uf_host", "__uf_t").agg(F.sum("__uf_blocked").alias("__uf_blocked"), F.sum("__uf_labelled").alias("__uf_labelled")))
-    known = named.select("__uf_host", "__uf_segs", "__uf_t").join(purity, ["__uf_host", "__uf_t"])
+    named = generalise(materialise(urls, "urls"))
+    counts = named.groupBy("__uf_host", "__uf_t").agg(F.sum("__uf_blocked").alias("__uf_blocked"), F.sum("__uf_labelled").alias("__uf_labelled"))
+    purity = tree(materialise(counts, "template-counts"))
+    known = materialise(named.select("__uf_host", "__uf_segs", "__uf_t").join(purity, ["__uf_host", "__uf_t"]), "template-purity")
     salted = known.withColumn("__uf_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     rows = rows.withColumn("__uf_salt", F.pmod(F.xxhash64(url, *[F.col(c) for c in pages.columns if c != url_col][:1]), F.lit(SALTS)).cast("int"))
     rows = rows.join(salted, ["__uf_host", "__uf_segs", "__uf_salt"]).drop("__uf_salt", "__uf_segs")
