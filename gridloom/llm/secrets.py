@@ -6,9 +6,9 @@ ledger lacks, each blob once however many paths hold it, and joins findings back
 paths. A rule's version is a digest of its definition, so an edited rule is scanned anew
 and the others are not.
 
-Skew: a blob that a third of all paths hold is combined on the map side and again over
-salted groups before its single scan; the way back to the paths goes through the same
-(blob, salt) groups, so no task gets all paths of a blob.
+Skew: a blob that a third of all paths hold is combined on the map side, so each task
+sends it once and it is scanned once; the way back to the paths goes through (blob, salt)
+groups, so no task gets all paths of a blob.
 
 Three base kinds always stay: assign (group 2 of 8 characters or more), access (16 or
 more) and hex (32 or more). The method adds key headers, tokens with a fixed prefix and
@@ -73,12 +73,10 @@ def address(versions: DataFrame, path_col: str, text_col: str, salts: int = SALT
     return versions.withColumn("__sc_text", text).withColumn("__sc_blob", F.unhex(F.sha2(text, 256))).withColumn("__sc_salt", F.pmod(F.xxhash64(F.col(path_col)), F.lit(salts)).cast("int"))
 
 
-def scan_unseen(addressed: DataFrame, ledger: DataFrame | None = None, rules: Sequence[Rule] = RULES, salts: int = SALTS) -> DataFrame:
+def scan_unseen(addressed: DataFrame, ledger: DataFrame | None = None, rules: Sequence[Rule] = RULES) -> DataFrame:
     """One row for each blob with a pair that the ledger lacks: blob, mask of salts, versions scanned, findings."""
-    blobs = (
-        addressed.groupBy("__sc_blob", "__sc_salt", "__sc_text").agg(F.count(F.lit(1)).alias("__sc_n"))
-        .groupBy("__sc_blob", "__sc_text").agg(F.bit_or(F.expr("shiftleft(1L, __sc_salt)")).alias("__sc_mask"), F.sum("__sc_n").alias("__sc_n"))
-    )
+    blobs = addressed.groupBy("__sc_blob", "__sc_text").agg(F.bit_or(F.expr("shiftleft(1L, __sc_salt)")).alias("__sc_mask"), F.count(F.lit(1)).alias("__sc_n"))
+    text = F.when(F.col("__sc_n") > 0, F.col("__sc_text"))  # ties the scan to the combined row: no filter on findings moves it below
     versions = [f"{r.name}:{r.version}" for r in rules]
     if ledger is None:
         blobs = blobs.withColumn("__sc_todo", F.array(*[F.lit(v) for v in versions]))
@@ -89,7 +87,7 @@ def scan_unseen(addressed: DataFrame, ledger: DataFrame | None = None, rules: Se
             .withColumn("__sc_todo", F.array_except(F.array(*[F.lit(v) for v in versions]), F.coalesce("__sc_seen", F.array().cast("array<string>"))))
             .filter(F.size("__sc_todo") > 0).drop("__sc_seen")
         )
-    parts = [F.when(F.array_contains("__sc_todo", f"{r.name}:{r.version}"), scan_rule(F.col("__sc_text"), r, i)).otherwise(F.array().cast(FINDINGS)) for i, r in enumerate(rules)]
+    parts = [F.when(F.array_contains("__sc_todo", f"{r.name}:{r.version}"), scan_rule(text, r, i)).otherwise(F.array().cast(FINDINGS)) for i, r in enumerate(rules)]
     return blobs.withColumn("__sc_found", F.concat(*parts)).drop("__sc_text")
 
 
