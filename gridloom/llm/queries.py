@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import exact_dedup, fingerprint, packing, pieces, pii, secrets, url_filter
+from gridloom.llm import exact_dedup, fingerprint, packing, pieces, pii, secrets, url_filter, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": packing.op1_packing,
         "op2_pii": pii.op2_pii,
         "op3_pieces": pieces.op3_pieces,
+        "op4_warc": warc.op4_warc,
         "op5_fingerprints": fingerprint.op5_fingerprints,
         "op6_secrets": secrets.op6_secrets,
         "op7_url_filter": url_filter.op7_url_filter,
@@ -22,4 +23,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_dedup": exact_dedup.ORACLE}
+    return {"op4_warc": warc.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE}
