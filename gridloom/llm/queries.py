@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import exact_dedup, fingerprint, packing, pieces, pii, secrets, toxicity, url_filter, warc
+from gridloom.llm import exact_dedup, fingerprint, packing, pieces, pii, probminhash, secrets, toxicity, url_filter, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_fingerprints": fingerprint.op5_fingerprints,
         "op6_secrets": secrets.op6_secrets,
         "op7_url_filter": url_filter.op7_url_filter,
+        "op8_near_dedup": probminhash.op8_near_dedup,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     }
