@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.common import table
 
-MOST, VOCABULARY, LEAST_DOCS, THRESHOLD = 10_000, 50_000, 4, 0.3
+MOST, VOCABULARY, LEAST_DOCS, THRESHOLD = 5_000, 50_000, 4, 0.3
 STEPS, RATE, SPARSITY, BETA = 150, 0.05, 2e-4, 0.0
 BEGINNINGS = (4, 5, 6, 7)
 WORD = re.compile(r"\w+")
@@ -77,21 +77,26 @@ class Model:
 
 def vectors(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Vocabulary and a sparse matrix of log counts: features, rows, columns, values."""
-    docs = []
+    ids: dict[str, int] = {}
+    cols, counts, lengths = [], [], []
     for text in texts:
-        totals: Counter[str] = Counter()
+        totals: Counter[int] = Counter()
         for word, n in counts_of(text).items():
             for f in features_of(word):
-                totals[f] += n
-        docs.append(totals)
-    spread = Counter(f for d in docs for f in d)
-    names = sorted((f for f, n in spread.items() if n >= LEAST_DOCS), key=lambda f: (-spread[f], f))[:VOCABULARY]
-    index = {f: i for i, f in enumerate(names)}
-    entries = [(r, index[f], math.log1p(n)) for r, d in enumerate(docs) for f, n in d.items() if f in index]
-    if not entries:
-        return names, np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0)
-    rows, cols, values = zip(*entries, strict=True)
-    return names, np.array(rows, np.int32), np.array(cols, np.int32), np.array(values, np.float32)
+                totals[ids.setdefault(f, len(ids))] += n
+        cols.append(np.fromiter(totals.keys(), np.int32, len(totals)))
+        counts.append(np.fromiter(totals.values(), np.float32, len(totals)))
+        lengths.append(len(totals))
+    every, values = np.concatenate(cols), np.log1p(np.concatenate(counts))
+    rows = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
+    spread = np.bincount(every, minlength=len(ids))
+    names = list(ids)
+    chosen = sorted(np.flatnonzero(spread >= LEAST_DOCS).tolist(), key=lambda i: (-spread[i], names[i]))[:VOCABULARY]
+    place = np.full(len(names), -1, np.int32)
+    place[chosen] = np.arange(len(chosen), dtype=np.int32)
+    cols = place[every]
+    used = cols >= 0
+    return [names[i] for i in chosen], rows[used], cols[used], values[used]
 
 
 def train(texts: list[str], toxic: list[int], steps: int = STEPS) -> Model:
