@@ -72,7 +72,7 @@ def mod97(match: Column) -> Column:
 def confirmed(kind: str, match: Column) -> Column:
     """The validator of a kind; each looks at the length first, so the digits of a long run are never walked."""
     if kind == "ip":
-        return F.forall(F.split(match, r"\."), lambda p: F.length(F.ltrim(F.lit("0"), p)).between(0, 3) & (F.right(F.concat(F.lit("000"), p), F.lit(3)).cast("int") <= 255))
+        return F.forall(F.split(match, r"\."), lambda p: (F.length(F.ltrim(p, F.lit("0"))) <= 3) & (F.right(F.concat(F.lit("000"), p), F.lit(3)).cast("int") <= 255))
     if kind == "card":
         return let(digits_of(match), lambda d: F.when(F.length(d).between(16, 19), luhn(d)).otherwise(False))
     if kind == "phone":
