@@ -52,8 +52,8 @@ def report(kept: DataFrame) -> DataFrame:
 def manifest(kept: DataFrame, region: str, collection: str, date_range: str, max_cloud: float = MAX_CLOUD, per_tile: int = PER_TILE) -> DataFrame:
     """One row: the manifest's fields with scenes by tile and time. kept is at most per_tile rows for each tile."""
     fields = [c for c in ("id", "datetime", "tile", "epsg", "cloud_pct", "nodata_pct", "assets") if c in kept.columns]
-    ordered = F.array_sort(F.collect_list(F.struct("tile", "datetime", "id", F.struct(*fields).alias("scene"))))
-    scenes = F.transform(ordered, lambda s: s["scene"])
+    key = lambda s: F.struct(s["tile"], s["datetime"], s["id"])
+    scenes = F.array_sort(F.collect_list(F.struct(*fields)), lambda a, b: F.when(key(a) < key(b), -1).when(key(a) > key(b), 1).otherwise(0))
     return kept.agg(scenes.alias("scenes")).select(
         F.lit(region).alias("region"), F.lit(collection).alias("collection"), F.lit(date_range).alias("date_range"), F.lit(float(max_cloud)).alias("max_scene_cloud_pct"),
         F.lit(per_tile).alias("max_scenes_per_tile"), F.size("scenes").alias("scene_count"), "scenes",

@@ -36,12 +36,12 @@ def neighbours(layer: DataFrame, value: str, grid: Grid) -> DataFrame:
 
 
 def horn_slope(layer: DataFrame, value: str, grid: Grid, res: float | None = None, out: str = "slope") -> DataFrame:
-    """Slope in degrees from Horn's weighted differences; a missing neighbour makes it missing."""
+    """Slope in degrees from Horn's weighted differences; a missing centre or neighbour makes it missing."""
     step = 8 * (res or grid.res)
     n = [F.col("__n")[i] for i in range(9)]
     dx = ((n[2] + 2 * n[5] + n[8]) - (n[0] + 2 * n[3] + n[6])) / step
     dy = ((n[6] + 2 * n[7] + n[8]) - (n[0] + 2 * n[1] + n[2])) / step
-    return neighbours(layer, value, grid).withColumn(out, F.degrees(F.atan(F.sqrt(dx * dx + dy * dy)))).drop("__n")
+    return neighbours(layer, value, grid).withColumn(out, F.when(n[4].isNotNull(), F.degrees(F.atan(F.sqrt(dx * dx + dy * dy))))).drop("__n")
 
 
 def summary(layer: DataFrame, value: str, points: Sequence[int] = (1, 25, 50, 75, 99), above: Sequence[float] = (), up_to: Sequence[float] = ()) -> DataFrame:
