@@ -61,7 +61,7 @@ def patch_origins(split: DataFrame, grid: Grid, value: int, patch: int = PATCH,
     hits = split.filter(F.col("split") == value)
     last_r, last_c = (grid.height - patch) // step, (grid.width - patch) // step
     if last_r < 0 or last_c < 0:
-        return hits.select("row", "col").limit(0)
+        return hits.select("row", "col").filter(F.lit(False))
     covers = lambda x, last: F.sequence(F.greatest(F.lit(0), F.ceil((x - patch + 1) / step)).cast("int"), F.least(F.lit(last), F.floor(x / step)).cast("int"))
     reach = lambda x, last: F.ceil((x - patch + 1) / step) <= F.least(F.lit(last), F.floor(x / step))
     by_row = hits.filter(reach(F.col("row"), last_r) & (F.floor(F.col("row") / step) >= 0)).withColumn("i", F.explode(covers(F.col("row"), last_r))).groupBy("i", "col").agg(F.count(F.lit(1)).alias("n"))
