@@ -20,21 +20,26 @@ from pyspark.sql import functions as F
 
 from gridloom.llm import exact_dedup, packing, pii, probminhash, toxicity
 from gridloom.llm.common import materialise, table
+from gridloom.ship import shipped
 
 
+@shipped
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.scored(docs, model).filter(F.col("__tx_score") < toxicity.THRESHOLD).select(*docs.columns)
 
 
+@shipped
 def keep_first_of_equals(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.keep_first(docs)
 
 
+@shipped
 def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return probminhash.keep_one(docs)
 
 
+@shipped
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     clean = pii.redact(docs)
     if "n_chars" in docs.columns:
@@ -42,6 +47,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return clean.select(*docs.columns)
 
 
+@shipped
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, packing.vocabulary())
 
