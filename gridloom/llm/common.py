@@ -1,50 +1,22 @@
-"""What the corpus operators share: table access, the shared scratch folder, and row-local column helpers."""
+"""What the corpus operators share: table access, the shared folder, and row-local column helpers."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_own_scratch: str | None = None
+from gridloom.sources.scratch import materialise
+from gridloom.sources.scratch import path as scratch_path
+
+__all__ = ["SPAN", "let", "materialise", "regex_spans", "running_total", "scratch_path", "table", "whole_text"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The folder every executor shares, as the cluster names it in spark.checkpoint.dir.
-
-    Where it is unset a local master gets a temporary folder; a cluster gets an error,
-    since a folder of one machine would lose rows there.
-    """
-    global _own_scratch
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir is unset; a cluster needs a shared folder there")
-    if _own_scratch is None:
-        _own_scratch = tempfile.mkdtemp(prefix="corpus-scratch-")
-    return f"file://{_own_scratch}"
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Writes a table to the shared folder and reads it again: lineage ends there, and a lost executor costs no rows."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluates value once per row and hands it to body."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import materialise, table
+from gridloom.operators.graph import parts
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4
@@ -186,24 +187,9 @@ def _salt(column: str) -> F.Column:
     return F.pmod(F.xxhash64(column), F.lit(SALTS)).cast("int")
 
 
-def components(links: DataFrame, most: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(node, class) for every end of a link (a, b); the class is its least node."""
-    edges = materialise(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct(), "edges")
-    state = None
-    for _ in range(most):
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").select(F.explode(F.array(F.struct(F.col("v").alias("x"), F.col("m").alias("y")), F.struct(F.col("u").alias("x"), F.col("m").alias("y")))).alias("e")).select(F.col("e.x").alias("u"), F.col("e.y").alias("v")).filter("u != v").distinct()
-        edges = materialise(small, "edges")
-        now = tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
-        if now == state:
-            break
-        state = now
-    else:
-        raise RuntimeError(f"components didn't settle in {most} steps")
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("class")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("class")).distinct())
+    return parts(links).withColumnRenamed("part", "class")
 
 
 def first_links(members: DataFrame, sets: DataFrame) -> DataFrame:

@@ -113,7 +113,8 @@ def smoothed(blocked: Column, labelled: Column, parent: Column) -> Column:
 
 def tree(counts: DataFrame) -> DataFrame:
     """The purity of every (host, template). counts: host, template, blocked, labelled."""
-    overall = counts.agg(F.sum("__uf_blocked").alias("b"), F.sum("__uf_labelled").alias("l")).select(((F.coalesce("b", F.lit(0)) + 1) / (F.coalesce("l", F.lit(0)) + 2)).alias("__uf_p0"))
+    sums = counts.agg(F.sum("__uf_blocked").alias("b"), F.sum("__uf_labelled").alias("l")).first()
+    overall = F.lit(((sums["b"] or 0) + 1) / ((sums["l"] or 0) + 2))  # one number
     parts = F.filter(F.split("__uf_t", "/"), lambda s: s != "")
     prefixes = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda d: F.concat(F.lit("/"), F.array_join(F.slice(parts, F.lit(1), d), "/")))
     nodes = counts.select("__uf_host", F.posexplode(prefixes).alias("__uf_d", "__uf_node"), "__uf_blocked", "__uf_labelled")
@@ -123,13 +124,12 @@ def tree(counts: DataFrame) -> DataFrame:
     chain = counts.select("__uf_host", "__uf_t", F.posexplode(prefixes).alias("__uf_d", "__uf_node"))
     both = chain.join(own, ["__uf_host", "__uf_d", "__uf_node"]).join(wide, ["__uf_d", "__uf_node"])
     rows = both.groupBy("__uf_host", "__uf_t").agg(F.array_sort(F.collect_list(F.struct("__uf_d", "b", "l", "__uf_blocked", "__uf_labelled"))).alias("c"))
-    rows = rows.crossJoin(F.broadcast(overall))  # one row
-    everywhere = F.aggregate("c", F.col("__uf_p0"), lambda p, x: smoothed(x["b"], x["l"], p))
+    everywhere = F.aggregate("c", overall, lambda p, x: smoothed(x["b"], x["l"], p))
     purity = F.aggregate("c", everywhere, lambda p, x: smoothed(x["__uf_blocked"], x["__uf_labelled"], p))
     return rows.select("__uf_host", "__uf_t", F.round(purity, 6).alias("__uf_purity"))
 
 
-def judge(pages: DataFrame, url_col: str = "url", rules: Sequence[Rule] = RULES) -> DataFrame:
+def judge(pages: DataFrame, url_col: str = "url", id_col: str = "page_id", rules: Sequence[Rule] = RULES) -> DataFrame:
     """pages with __uf_host, __uf_path, __uf_rule, __uf_template, __uf_purity and __uf_verdict."""
     url = F.col(url_col).cast("string")
     rows = apply_rules(pages.withColumn("__uf_host", host_of(url)).withColumn("__uf_path", path_of(url)), rules).withColumn("__uf_segs", segments(F.col("__uf_path")))
@@ -139,7 +139,7 @@ def judge(pages: DataFrame, url_col: str = "url", rules: Sequence[Rule] = RULES)
     purity = tree(materialise(counts, "template-counts"))
     known = materialise(named.select("__uf_host", "__uf_segs", "__uf_t").join(purity, ["__uf_host", "__uf_t"]), "template-purity")
     salted = known.withColumn("__uf_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rows = rows.withColumn("__uf_salt", F.pmod(F.xxhash64(url, *[F.col(c) for c in pages.columns if c != url_col][:1]), F.lit(SALTS)).cast("int"))
+    rows = rows.withColumn("__uf_salt", F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int"))
     rows = rows.join(salted, ["__uf_host", "__uf_segs", "__uf_salt"]).drop("__uf_salt", "__uf_segs")
     return rows.withColumnRenamed("__uf_t", "__uf_template").withColumn("__uf_verdict", F.coalesce("__uf_label", F.when(F.col("__uf_purity") >= REJECT, "block").otherwise("allow")))
 
