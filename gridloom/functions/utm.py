@@ -9,7 +9,6 @@ from __future__ import annotations
 import math
 from types import SimpleNamespace
 
-from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 A, FLAT, K0, FALSE_EAST = 6378137.0, 1 / 298.257223563, 0.9996, 500000.0
@@ -59,15 +58,20 @@ def central_meridian(epsg: int) -> float:
     return (epsg - 32600) * 6 - 183.0
 
 
+def _meridian(epsg):
+    """A zone's central meridian; a column of zones gives a column."""
+    return central_meridian(epsg) if isinstance(epsg, int) else (epsg - 32600) * 6 - 183.0
+
+
 def _conformal(tau, m):
     """The tangent of the conformal latitude for the tangent of the latitude."""
     s = m.sinh(E * m.atanh(E * tau / m.sqrt(1 + tau * tau)))
     return tau * m.sqrt(1 + s * s) - s * m.sqrt(1 + tau * tau)
 
 
-def project(lon, lat, epsg: int, m=COLUMNS):
+def project(lon, lat, epsg, m=COLUMNS):
     """(easting, northing) of a position in degrees."""
-    lam = m.radians(lon - central_meridian(epsg))
+    lam = m.radians(lon - _meridian(epsg))
     tau = _conformal(m.tan(m.radians(lat)), m)
     xi, eta = m.atan2(tau, m.cos(lam)), m.asinh(m.sin(lam) / m.sqrt(tau * tau + m.cos(lam) * m.cos(lam)))
     north, east = xi, eta
@@ -77,7 +81,7 @@ def project(lon, lat, epsg: int, m=COLUMNS):
     return FALSE_EAST + K0 * RADIUS * east, K0 * RADIUS * north
 
 
-def unproject(x, y, epsg: int, m=COLUMNS):
+def unproject(x, y, epsg, m=COLUMNS):
     """(lon, lat) in degrees of a projected position."""
     xi, eta = y / (K0 * RADIUS), (x - FALSE_EAST) / (K0 * RADIUS)
     up, along = xi, eta
@@ -88,11 +92,7 @@ def unproject(x, y, epsg: int, m=COLUMNS):
     lat = conformal
     for j, d in enumerate(DELTA, 1):
         lat = lat + d * m.sin(2 * j * conformal)
-    return central_meridian(epsg) + m.degrees(m.atan2(m.sinh(along), m.cos(up))), m.degrees(lat)
-
-
-def project_columns(lon: Column, lat: Column, epsg: int) -> tuple[Column, Column]:
-    return project(lon, lat, epsg)
+    return _meridian(epsg) + m.degrees(m.atan2(m.sinh(along), m.cos(up))), m.degrees(lat)
 
 
 def bounds_projected(bbox: tuple[float, float, float, float], epsg: int, points: int = 21) -> tuple[float, float, float, float]:

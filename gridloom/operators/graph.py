@@ -13,9 +13,17 @@ from pyspark.sql import functions as F
 from gridloom.sources.scratch import materialise
 
 
+def _named(stars: DataFrame) -> DataFrame:
+    """Leaves with their centre, and centres with themselves."""
+    centres = stars.select(F.col("v").alias("node"), F.col("v").alias("part")).distinct()
+    return stars.select(F.col("u").alias("node"), F.col("v").alias("part")).unionByName(centres)
+
+
 def parts(edges: DataFrame, most: int = 60) -> DataFrame:
     """(node, part) for every node of edges (a, b); the part is its least node."""
     pairs = materialise(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct(), "edges")
+    if pairs.isEmpty():
+        return _named(pairs)
     state = None
     for _ in range(most):
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -26,6 +34,6 @@ def parts(edges: DataFrame, most: int = 60) -> DataFrame:
         pairs = materialise(large.join(down, "u").select(ends.alias("e")).select("e.*").filter("u != v").distinct(), "edges")
         now = tuple(pairs.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
         if now == state:
-            return pairs.select(F.col("u").alias("node"), F.col("v").alias("part")).unionByName(pairs.select(F.col("v").alias("node"), F.col("v").alias("part")).distinct())
+            return _named(pairs)
         state = now
     raise RuntimeError(f"parts didn't settle in {most} rounds")

@@ -52,6 +52,18 @@ def resample(layer: DataFrame, value: str, source: Grid, target: Grid, kind: str
     return total.select("row", "col", F.try_divide("s", F.nullif("t", F.lit(0.0))).alias(value)).filter(F.col(value).isNotNull())
 
 
+def footprints(scenes: DataFrame, grid: Grid, points: int = 21) -> DataFrame:
+    """Each scene's (id, epsg, left, bottom, right, top) in its own zone as bounds in the grid's zone, along densified edges."""
+    steps = F.transform(F.sequence(F.lit(0), F.lit(points + 1)), lambda k: k / (points + 1.0))
+    walked = scenes.withColumn("t", F.explode(steps))
+    x, y = F.col("left") + F.col("t") * (F.col("right") - F.col("left")), F.col("bottom") + F.col("t") * (F.col("top") - F.col("bottom"))
+    ring = walked.select("id", "epsg", F.explode(F.array(*[F.struct(a.alias("x"), b.alias("y")) for a, b in ((x, F.col("bottom")), (x, F.col("top")), (F.col("left"), y), (F.col("right"), y))])).alias("p"))
+    lon, lat = utm.unproject(F.col("p.x"), F.col("p.y"), F.col("epsg"))
+    east, north = utm.project(F.col("lon"), F.col("lat"), grid.epsg)
+    placed = ring.select("id", lon.alias("lon"), lat.alias("lat")).select("id", east.alias("x"), north.alias("y"))
+    return placed.groupBy("id").agg(F.min("x").alias("left"), F.min("y").alias("bottom"), F.max("x").alias("right"), F.max("y").alias("top"))
+
+
 def averaged(layer: DataFrame, value: str, k: int) -> DataFrame:
     """The mean of each k x k square's values."""
     return layer.groupBy(F.expr(f"CAST(row DIV {k} AS INT)").alias("row"), F.expr(f"CAST(col DIV {k} AS INT)").alias("col")).agg(F.avg(value).alias(value))

@@ -13,6 +13,7 @@ from gridloom.functions.numbers import exact_round, rint
 from gridloom.grid import Grid, Window as Pixels
 from gridloom.operators import components, morphology
 from gridloom.operators.landcover import named
+from gridloom.sources.scratch import materialise
 
 # flags' words and limits, in their order.
 FLAGS = (
@@ -35,10 +36,11 @@ def candidates(stack: DataFrame, min_score: int = 1) -> DataFrame:
 
 def labelled(stack: DataFrame, grid: Grid, min_score: int = 1, min_area_ha: float = MIN_AREA_HA) -> DataFrame:
     """Pixels of components that are large enough, with their layers, label and core."""
-    found = candidates(stack, min_score).filter("mask")
-    labels = components.components(found.select("row", "col"), grid.width)
-    large = components.sizes(labels).filter(F.col("pixels") >= components.least_pixels(min_area_ha, grid.res)).select("label")
-    return found.join(labels.join(large, "label", "left_semi"), ["row", "col"])
+    found = materialise(candidates(stack, min_score).filter("mask"), "candidates")  # read by the runs and by the statistics
+    runs = components.labelled_runs(found.select("row", "col"), grid.width)
+    large = runs.groupBy("label").agg(F.sum(F.col("c1") - F.col("c0") + 1).alias("pixels")).filter(F.col("pixels") >= components.least_pixels(min_area_ha, grid.res)).select("label")
+    pixels = runs.join(large, "label", "left_semi").select("row", F.explode(F.sequence("c0", "c1")).alias("col"), "label")
+    return found.join(pixels, ["row", "col"])
 
 
 def zonal(pixels: DataFrame) -> DataFrame:
@@ -82,4 +84,5 @@ def ranked(sites: DataFrame, top: int = TOP) -> DataFrame:
 
 def extract(stack: DataFrame, grid: Grid, top: int = TOP, min_score: int = 1, min_area_ha: float = MIN_AREA_HA, exact: bool = True) -> DataFrame:
     """Scored stack to ranked sites."""
-    return ranked(described(labelled(stack, grid, min_score, min_area_ha), grid, exact), top)
+    pixels = materialise(labelled(stack, grid, min_score, min_area_ha), "sites")  # read by the means and by the classes
+    return ranked(described(pixels, grid, exact), top)

@@ -43,11 +43,21 @@ def scored(stack: DataFrame, scorer: scoring.Scorer) -> DataFrame:
     return stack.withColumn("score", F.coalesce(scorer(stack).cast("int"), F.lit(0)))
 
 
-def analyze(spark: SparkSession, root: str, region: str = "A", bbox: tuple[float, float, float, float] | None = None, top: int = 5, min_score: int = 1, out_dir: str | None = None, scorer: scoring.Scorer = lambda _: scoring.parity(), grid: Grid | None = None, most_km2: float | None = None) -> dict:
-    """The sites document of a box; with out_dir also the score layer, a heat map and the report."""
+def analyze(spark: SparkSession, root: str, region: str = "A", bbox: tuple[float, float, float, float] | None = None, top: int = 5, min_score: int = 1, out_dir: str | None = None, scorer: scoring.Scorer = lambda _: scoring.parity(), grid: Grid | None = None, most_km2: float | None = None, polygon: list[tuple[float, float]] | None = None) -> dict:
+    """The sites document of a box or a polygon of (lon, lat); with out_dir also the score layer, a heat map and the report.
+
+    Pixels of the polygon's box outside of it are invalid.
+    """
     grid = grid or grid_for(REGIONS[region])
+    if polygon:
+        xs, ys = zip(*polygon, strict=True)
+        bbox, most_km2 = (min(xs), min(ys), max(xs), max(ys)), MOST_KM2 if most_km2 is None else most_km2
     w = window_of(region, bbox, grid, most_km2)
-    stack = materialise(scored(layers.load(spark, root, region, grid, w), scorer), "scored")
+    loaded = layers.load(spark, root, region, grid, w)
+    if polygon:
+        inside = polygon_pixels(loaded, polygon, grid).select("row", "col", F.lit(True).alias("inside"))
+        loaded = loaded.join(inside, ["row", "col"], "left").withColumn("valid", F.col("valid") & F.coalesce("inside", F.lit(False))).drop("inside")
+    stack = materialise(scored(loaded, scorer), "scored")
     scoring.contract(stack, w.width * w.height)
     # Opening and labels see the window's own pixels, whose outside is false.
     local = stack.withColumn("row", F.col("row") - w.row).withColumn("col", F.col("col") - w.col).drop("stripe")

@@ -13,6 +13,7 @@ from gridloom.grid import Grid
 from gridloom.operators import components, composite, distance, landcover, morphology, resample, scenes, scoring, sites, splits, stats, terrain
 from gridloom.plans import report
 from gridloom.sources import virtual
+from gridloom.sources.scratch import materialise
 from gridloom.sources.virtual import GRID, SIDE, layers, looks, table
 
 SLOPE_RES = 30.0
@@ -27,8 +28,8 @@ def _composite(spark: SparkSession, d: str) -> DataFrame:
     return composite.on_grid(composite.median_composite(looks(spark, d), BANDS), GRID, BANDS)
 
 
-def _slope(spark: SparkSession, d: str) -> DataFrame:
-    return terrain.horn_slope(layers(spark, d), "elevation", GRID, SLOPE_RES).withColumn("slope", rint(F.col("slope"), 4))
+def _slope(spark: SparkSession, d: str, base: DataFrame | None = None) -> DataFrame:
+    return terrain.horn_slope(layers(spark, d) if base is None else base, "elevation", GRID, SLOPE_RES).withColumn("slope", rint(F.col("slope"), 4))
 
 
 def _parity(spark: SparkSession, d: str) -> DataFrame:
@@ -36,17 +37,17 @@ def _parity(spark: SparkSession, d: str) -> DataFrame:
     return _slope(spark, d).withColumn("valid", F.col("slope").isNotNull()).withColumn("score", scoring.parity())
 
 
-def _distances(spark: SparkSession, d: str, feature: str) -> DataFrame:
-    return distance.nearest(layers(spark, d).withColumn("f", F.col(feature) | ((F.col("row") == 0) & (F.col("col") == 0))), "f", GRID)
+def _distances(base: DataFrame, feature: str) -> DataFrame:
+    return distance.nearest(base.withColumn("f", F.col(feature) | ((F.col("row") == 0) & (F.col("col") == 0))), "f", GRID)
 
 
 def _stack(spark: SparkSession, d: str) -> DataFrame:
     """All five layers, the rise over the nearest water, validity and the plain score."""
-    base = _slope(spark, d)
-    water = _distances(spark, d, "water")
-    rise = distance.above_nearest(layers(spark, d), water).select("row", "col", F.col("distance").alias("dist_water"), "rise")
-    road = _distances(spark, d, "road").select("row", "col", F.col("distance").alias("dist_road"))
-    return base.join(rise, ["row", "col"]).join(road, ["row", "col"]).withColumn("valid", scoring.valid()).withColumn("score", scoring.parity())
+    base = materialise(layers(spark, d), "layers")  # five readers, one scan of the observations
+    water = _distances(base, "water")
+    rise = distance.above_nearest(base, water).select("row", "col", F.col("distance").alias("dist_water"), "rise")
+    road = _distances(base, "road").select("row", "col", F.col("distance").alias("dist_road"))
+    return _slope(spark, d, base).join(rise, ["row", "col"]).join(road, ["row", "col"]).withColumn("valid", scoring.valid()).withColumn("score", scoring.parity())
 
 
 def _labelled(spark: SparkSession, d: str) -> DataFrame:
@@ -165,11 +166,12 @@ def coverage_grid(spark, d):
 
 
 def distance_edt(spark, d):
-    return _distances(spark, d, "water").select("row", "col", rint(F.col("distance"), 4).alias("distance"))
+    return _distances(layers(spark, d), "water").select("row", "col", rint(F.col("distance"), 4).alias("distance"))
 
 
 def nearest_water_elevation(spark, d):
-    out = distance.above_nearest(layers(spark, d), _distances(spark, d, "water"))
+    base = materialise(layers(spark, d), "layers")
+    out = distance.above_nearest(base, _distances(base, "water"))
     return out.select("row", "col", "near_row", "near_col", rint(F.col("rise"), 4).alias("rise"))
 
 

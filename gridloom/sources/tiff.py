@@ -13,7 +13,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from gridloom.grid import Grid, Window
@@ -113,8 +115,8 @@ def encode(tile: np.ndarray) -> bytes:
     return zlib.compress(np.diff(tile, axis=1, prepend=np.zeros((len(tile), 1), tile.dtype)).astype(tile.dtype).tobytes(), 6)
 
 
-def write(path: str, bands: np.ndarray, grid: Grid, nodata: float | None = None) -> None:
-    """Writes bands (band, row, col) as a tiled, deflated GeoTIFF. For windows and previews: the array is in memory."""
+def to_bytes(bands: np.ndarray, grid: Grid, nodata: float | None = None) -> bytes:
+    """Bands (band, row, col) as a tiled, deflated GeoTIFF."""
     count, height, width = bands.shape
     across, down = -(-width // TILE), -(-height // TILE)
     tiles = []
@@ -147,8 +149,39 @@ def write(path: str, bands: np.ndarray, grid: Grid, nodata: float | None = None)
             extra += raw + b"\0" * (len(raw) % 2)
         else:
             entries += struct.pack("<HHI", tag, codes[kind], n) + raw.ljust(4, b"\0")
+    return struct.pack("<2sHI", b"II", 42, at) + b"".join(tiles) + struct.pack("<H", len(fields)) + entries + b"\0\0\0\0" + extra
+
+
+def write(path: str, bands: np.ndarray, grid: Grid, nodata: float | None = None) -> None:
+    """One file of an array in memory: for windows and previews."""
     with open(path, "wb") as f:
-        f.write(struct.pack("<2sHI", b"II", 42, at) + b"".join(tiles) + struct.pack("<H", len(fields)) + entries + b"\0\0\0\0" + extra)
+        f.write(to_bytes(bands, grid, nodata))
+
+
+def write_stripes(layer: DataFrame, values: list[str], grid: Grid, folder: str, dtype: str, nodata: float, stripe: int = TILE) -> DataFrame:
+    """A layer of any size as one GeoTIFF for each stripe of rows, written by the tasks to a shared folder.
+
+    Returns (stripe, file) once run; a file's name is its stripe's, and a repeated task writes the same bytes.
+    """
+    def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        from pyarrow import fs
+
+        top = int(key[0]) * stripe
+        height = min(stripe, grid.height - top)
+        bands = np.full((len(values), height, grid.width), nodata, dtype)
+        for b, name in enumerate(values):
+            known = rows[name].notna().to_numpy()
+            bands[b, rows["row"].to_numpy()[known] - top, rows["col"].to_numpy()[known]] = rows[name].to_numpy()[known].astype(dtype)
+        own = Grid(grid.epsg, grid.x0, grid.y0 - top * grid.res, grid.res, grid.width, height)
+        system, root = fs.FileSystem.from_uri(folder)
+        system.create_dir(root, recursive=True)
+        name = f"stripe-{int(key[0]):06d}.tif"
+        with system.open_output_stream(f"{root}/{name}") as out:
+            out.write(to_bytes(bands, own, nodata))
+        return pd.DataFrame({"stripe": [int(key[0])], "file": [name]})
+
+    dealt = layer.select("row", "col", *values).withColumn("stripe", F.expr(f"CAST(row DIV {stripe} AS INT)"))
+    return dealt.groupBy("stripe").applyInPandas(one, "stripe int, file string")
 
 
 class Tiles(InputPartition):

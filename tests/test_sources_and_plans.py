@@ -6,10 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.grid import Grid, Window
-from gridloom.operators import composite, scenes
+from gridloom.grid import REGIONS, Grid, Window, grid_for
+from gridloom.operators import composite, resample, scenes
 from gridloom.operators.resample import lanes
-from gridloom.plans import analyze, build, compositing, report
+from gridloom.plans import analyze, build, compositing, quicklook, report
 from gridloom.sources import layers, osm, png, tiff
 from gridloom.streaming import arrivals
 
@@ -31,6 +31,32 @@ def test_tiff_round_trip_and_windows(spark, tmp_path, dtype):
             assert (got is None and want == 0) or got == pytest.approx(float(want))
 
 
+def test_stripes_of_any_layer(spark, tmp_path):
+    a = np.random.default_rng(6).random((50, 60))
+    layer = lanes(a, spark, "v").withColumn("v", F.when(F.col("col") != 7, F.col("v")))
+    files = tiff.write_stripes(layer, ["v"], G, f"file://{tmp_path}/t", "float32", -9999.0, stripe=20).orderBy("stripe").collect()
+    assert [f.file for f in files] == ["stripe-000000.tif", "stripe-000001.tif", "stripe-000002.tif"]
+    last = tiff.read(spark, str(tmp_path / "t" / files[2].file))
+    assert tiff.read_header(str(tmp_path / "t" / files[2].file)).grid.y0 == G.y0 - 400
+    rows = {(r["row"], r["col"]): r.band1 for r in last.collect()}
+    assert len(rows) == 600 and rows[(3, 7)] is None and rows[(3, 8)] == pytest.approx(a[43, 8], abs=1e-6)
+
+
+def test_quicklooks(spark, tmp_path):
+    layer = lanes(np.random.default_rng(6).random((50, 60)), spark, "v").withColumn("c", F.lit(2))
+    assert quicklook.quicklook(layer.select("row", "col", "v"), G, str(tmp_path / "a.png"), width=20) == (20, 17)
+    assert quicklook.quicklook(layer, G, str(tmp_path / "b.png"), ["c"], categorical=True) == (60, 50)
+    assert (tmp_path / "a.png").read_bytes()[:4] == b"\x89PNG"
+
+
+def test_footprints(spark):
+    rows = [("a", 32643, 699960.0, 3290220.0, 809760.0, 3400020.0), ("b", 32644, 199980.0, 3290220.0, 309780.0, 3400020.0)]
+    df = spark.createDataFrame(rows, "id string, epsg int, left double, bottom double, right double, top double")
+    got = {r.id: r for r in resample.footprints(df, G).collect()}
+    assert [round(got["b"][c], 3) for c in ("left", "bottom", "right", "top")] == [199980.0, 3290220.0, 309780.0, 3400020.0]
+    assert 110_000 < got["a"].left < 150_000 and got["a"].right > got["a"].left + 100_000
+
+
 def test_band_names():
     assert tiff.bands_named(["a"], None) == [1] and tiff.bands_named(["a", "b", "c", "d"], None) == [1, 2, 3]
     assert tiff.bands_named(["a", "b"], ["b", 1]) == [2, 1]
@@ -116,6 +142,13 @@ def test_analyze_end_to_end(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out" / "suitability")).count() == 3000
     part = analyze.polygon_pixels(layers.load(spark, root, "A", G), [(81.0, 27.0)] * 3, G)
     assert part.count() == 0
+    from gridloom.functions import utm
+
+    ring = [utm.unproject(500000.0 + x, 3000000.0 - y, 32644, utm.NUMBERS) for x, y in ((105, 105), (505, 105), (505, 405), (105, 405))]
+    inside = analyze.analyze(spark, root, "A", polygon=ring, grid=G)
+    assert sum(s["area_ha"] for s in inside["sites"]) <= 12.8
+    with pytest.raises(ValueError, match="limit"):
+        analyze.window_of("A", (78.0, 30.0, 78.2, 30.2), grid_for(REGIONS["A"]), analyze.MOST_KM2)
 
 
 def test_composites_resume_by_signature(spark, tmp_path):
