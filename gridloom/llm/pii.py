@@ -41,14 +41,14 @@ class Kind:
 
 # Patterns and context words.
 KINDS = (
-    Kind("email", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", 0.8, 0.0, r"\b(e-?mail|mail|contact|write|reach)\b"),
-    Kind("ip", r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", 0.5, 0.2, r"\b(ip|host|server|address|addr|client|login)\b"),
-    Kind("card", r"[0-9](?:[\x20-]?[0-9])++", 0.3, 0.4, r"\b(card|visa|credit|debit|mastercard|amex|pay|payment)\b"),
-    Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 0.5, 0.0, r"\b(call|phone|tel|telephone|mobile|fax|cell|whatsapp)\b"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", 0.3, 0.5, r"\b(iban|account|bank|transfer|konto|compte|cuenta)\b"),
-    Kind("ssn", r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])", 0.4, 0.1, r"\b(ssn|social security|social|taxpayer)\b"),
+    Kind("email", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", 0.8, 0.0, "e-?mail|mail|contact|write|reach"),
+    Kind("ip", r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", 0.5, 0.2, "ip|host|server|address|addr|client|login"),
+    Kind("card", r"[0-9](?:[\x20-]?[0-9])++", 0.3, 0.4, "card|visa|credit|debit|mastercard|amex|pay|payment"),
+    Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 0.5, 0.0, "call|phone|tel|telephone|mobile|fax|cell|whatsapp"),
+    Kind("iban", r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9_])", 0.3, 0.5, "iban|account|bank|transfer|konto|compte|cuenta"),
+    Kind("ssn", r"(?<![A-Za-z0-9_])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9_])", 0.4, 0.1, "ssn|social security|social|taxpayer"),
 )
-AGAINST = r"\b(order|invoice|version|build|isbn|part|serial|ticket)\b"
+AGAINST = "order|invoice|version|build|isbn|part|serial|ticket"
 SPANS = "array<struct<kind:string,start:int,end:int,score:double,rank:int>>"
 
 
@@ -84,9 +84,13 @@ def confirmed(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def whole_word(words: str) -> str:
+    return f"(^|[^a-z])({words})([^a-z]|$)"
+
+
 def score(kind: Kind, span: Column) -> Column:
     near = F.lower(F.concat_ws(" ", span["before"], span["after"]))
-    raw = F.lit(kind.prior + kind.checksum) + F.when(near.rlike(kind.context), 0.2).otherwise(0.0) - F.when(near.rlike(AGAINST), 0.15).otherwise(0.0)
+    raw = F.lit(kind.prior + kind.checksum) + F.when(near.rlike(whole_word(kind.context)), 0.2).otherwise(0.0) - F.when(near.rlike(whole_word(AGAINST)), 0.15).otherwise(0.0)
     return F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), raw)), 3)
 
 
@@ -98,6 +102,8 @@ def hint(kind: str, text: Column) -> Column | None:
 def spans_of(text: Column, kind: Kind, rank: int, threshold: float) -> Column:
     """The confirmed spans of one kind, in order of their starts."""
     found = F.filter(regex_spans(text, kind.pattern, hint(kind.name, text)), lambda s: confirmed(kind.name, s["match"]))
+    if kind.name == "ssn":  # not the middle of a longer number
+        found = F.filter(found, lambda s: ~s["before"].endswith("-") & ~s["after"].startswith("-"))
     out = F.transform(found, lambda s: F.struct(F.lit(kind.name).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), score(kind, s).alias("score"), F.lit(rank).alias("rank")))
     return (out if kind.name in BASE else F.filter(out, lambda s: s["score"] >= threshold)).cast(SPANS)
 
@@ -151,3 +157,43 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined(s).alias("spans"),
         F.array_max(F.transform(s, lambda x: x["score"])).alias("top_score"),
     )
+
+
+# The same in SQL, with the plain patterns: for ASCII words a word boundary is what the look-arounds say.
+_PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "card": r"[0-9](?:[\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    "iban": r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}\b", "ssn": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
+}
+_DIGITS = "regexp_replace(x, '[^0-9]', '', 'g')"
+_CHECKS = {
+    "email": "true",
+    "ip": "len(list_filter(string_split(x, '.'), lambda p: CAST(p AS HUGEINT) > 255)) = 0",
+    "card": f"length({_DIGITS}) BETWEEN 16 AND 19 AND list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda i: CAST(substr(reverse({_DIGITS}), i, 1) AS INT) * (1 + (i - 1) % 2) - CASE WHEN CAST(substr(reverse({_DIGITS}), i, 1) AS INT) * (1 + (i - 1) % 2) > 9 THEN 9 ELSE 0 END)) % 10 = 0",
+    "phone": f"length({_DIGITS}) BETWEEN 8 AND 15",
+    "iban": "list_reduce(list_transform(string_split(substr(replace(x, ' ', ''), 5) || left(replace(x, ' ', ''), 4), ''), lambda c: CASE WHEN c >= 'A' THEN ascii(c) - 55 ELSE ascii(c) - 48 END), lambda a, v: CASE WHEN v > 9 THEN a * 100 + v ELSE a * 10 + v END % 97, 0) = 1",
+    "ssn": "NOT regexp_matches(x, '^(000|666|9..)') AND NOT regexp_matches(x, '^...-00-') AND NOT regexp_matches(x, '0000$') AND right(before, 1) <> '-' AND left(after, 1) <> '-'",
+}
+
+
+def sql_spans(name: str, pattern: str, source: str) -> str:
+    """(rn, start, stop, x, before, after) of a pattern's matches in source (rn, t)."""
+    return f"""SELECT rn, start, start + length(x) AS stop, x, before, after FROM (SELECT rn, m[i] AS x, right(g[i], 48) AS before, left(g[i + 1], 48) AS after,
+        CAST(list_sum(list_transform(g[1:i], lambda s: length(s))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda s: length(s))), 0) AS BIGINT) AS start
+        FROM (SELECT rn, g, m, unnest(range(1, len(m) + 1)) AS i FROM (SELECT rn, string_split_regex(t, '{pattern}') AS g, regexp_extract_all(t, '{pattern}') AS m FROM {source})))"""
+
+
+def _oracle() -> str:
+    parts = []
+    for rank, k in enumerate(KINDS):
+        near = "lower(concat_ws(' ', before, after))"
+        points = f"round(least(1.0::DOUBLE, greatest(0.0::DOUBLE, {k.prior + k.checksum!r}::DOUBLE + CASE WHEN regexp_matches({near}, '{whole_word(k.context)}') THEN 0.2::DOUBLE ELSE 0 END - CASE WHEN regexp_matches({near}, '{whole_word(AGAINST)}') THEN 0.15::DOUBLE ELSE 0 END)), 3)"
+        rows = f"SELECT rn, {rank} AS rank, '{k.name}' AS kind, start, stop, {points} AS score FROM ({sql_spans(k.name, _PLAIN[k.name], 'd')}) WHERE {_CHECKS[k.name]}"
+        parts.append(rows if k.name in BASE else f"SELECT * FROM ({rows}) WHERE score >= {THRESHOLD}")
+    spell = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY rank, start)"
+    counts = ", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in BASE)
+    return f"""WITH d AS (SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS t FROM documents), s AS ({' UNION ALL '.join(parts)}),
+        a AS (SELECT rn, {', '.join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in BASE)}, {spell} FILTER (rank < {len(BASE)}) AS base, {spell} AS spans, max(score) AS top_score FROM s GROUP BY rn)
+        SELECT doc_id, {counts}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, top_score FROM d LEFT JOIN a USING (rn)"""
+
+
+ORACLE = _oracle()

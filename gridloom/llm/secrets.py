@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import regex_spans, table, whole_text
+from gridloom.llm.pii import sql_spans
 
 SALTS = 32
 
@@ -53,7 +54,7 @@ RULES = (
     Rule("access", r"AKIA[A-Z0-9]++", 16, "", "AKIA"),
     Rule("hex", r"(?:(?<![0-9a-f])|\G)[0-9a-f]++", 32, "", "[0-9a-f]{32}"),
     Rule("private_key", r"-----BEGIN (?:[A-Z]{1,16} ){0,3}PRIVATE KEY-----", 0, "", "-----BEGIN"),
-    Rule("prefixed", r"(?<![A-Za-z0-9])(?:gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,200}|sk_live_[A-Za-z0-9]{16,200})", 0, "", "gh[pousr]_|xox[abprs]-|sk_live_"),
+    Rule("prefixed", r"(?<![A-Za-z0-9_])(?:gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,200}|sk_live_[A-Za-z0-9]{16,200})", 0, "", "gh[pousr]_|xox[abprs]-|sk_live_"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", 0, "", "eyJ"),
 )
 BASE = ("assign", "access", "hex")
@@ -144,3 +145,25 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined(by_start(s)).alias("spans"),
         F.lower(F.hex("__sc_blob")).alias("blob"),
     )
+
+
+# The same in SQL, with the plain patterns. A ledger that starts empty changes nothing in a result. Case is spelt out: folding would take in letters beyond ASCII.
+_EITHER = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in _WORDS)
+_PLAIN = {
+    "assign": rf"(?:{_EITHER})[\"'']?\x20*[:=]\x20*[\"'']?[A-Za-z0-9+/_.=-]+", "access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]+", "private_key": r"-----BEGIN (?:[A-Z]{1,16} ){0,3}PRIVATE KEY-----",
+    "prefixed": r"\b(?:gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,200}|sk_live_[A-Za-z0-9]{16,200})", "jwt": r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
+}
+
+
+def _oracle() -> str:
+    parts = []
+    for rank, r in enumerate(RULES):
+        value = rf"regexp_replace(x, '^(?:{_EITHER})[\"'']?\x20*[:=]\x20*[\"'']?', '')" if r.name == "assign" else "x"
+        parts.append(f"SELECT rn, {rank} AS rank, '{r.name}' AS kind, start, stop FROM ({sql_spans(r.name, _PLAIN[r.name], 'd')}) WHERE length({value}) >= {r.least}")
+    spell = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank)"
+    return f"""WITH d AS (SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS t FROM documents), s AS ({' UNION ALL '.join(parts)}),
+        a AS (SELECT rn, {', '.join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in BASE)}, {spell} FILTER (rank < {len(BASE)}) AS base, {spell} AS spans FROM s GROUP BY rn)
+        SELECT doc_id, {', '.join(f"coalesce(n_{k}, 0) AS n_{k}" for k in BASE)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, sha256(t) AS blob FROM d LEFT JOIN a USING (rn)"""
+
+
+ORACLE = _oracle()

@@ -117,3 +117,22 @@ def test_all_paths_of_a_blob_get_its_findings(spark, empty):
 def test_queries(spark):
     for q, n in ((pii.op2_pii, 7), (secrets.op6_secrets, 7)):
         assert q(spark, "/root/testdata/sf0.001").count() == 200
+
+
+@pytest.mark.parametrize("module,query", [(pii, "op2"), (secrets, "op6")])
+def test_sql_says_the_same_of_hard_texts(spark, texts, tmp_path, module, query):
+    import duckdb
+
+    more = [
+        "acct GB82WEST12345698765432, DE89 3704 0044 0532 0130 00 DE89 3704 0044 0532 0130 01 xGB82WEST12345698765432", "555-123-45-6789 123-45-6789-1 a123-45-6789 123-45-6789 invoice", "-----BEGIN RSA PRIVATE KEY-----",
+        "ghp_" + "a1B2" * 9 + " xghp_" + "a1B2" * 9 + " sk_live_0123456789abcdef xoxb-1234567890-abc", "eyJhbGciOiJI.eyJzdWIiOiIx.abcdefgh-_1 eyJhbGci.eyJ", "order 4111111111111111 visa 4111-1111-1111-1111", "version 1.2.3.4 server 1.2.3.4",
+    ]
+    rows = [(i, t) for i, t in enumerate([*many(texts), *more])]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    got = {pii: pii.op2_pii, secrets: secrets.op6_secrets}[module](spark, str(tmp_path)).toPandas()
+    want = con.execute(module.ORACLE).df()[list(got.columns)]
+    plain = lambda d: sorted(tuple("-" if v is None or v != v else str(v) for v in r) for r in d.astype(object).itertuples(index=False))
+    assert plain(got) == plain(want)
+    assert got.spans.str.contains({"op2": "iban", "op6": "jwt|prefixed|private_key"}[query]).sum() >= 2
