@@ -62,6 +62,12 @@ COMMON = {
         FROM (SELECT doc_id, CAST(unnest(regexp_extract_all(coalesce(text, ''), '[0-9]+(?:\\.[0-9]+)?')) AS DOUBLE) AS x FROM documents)""",
     "pairs": "SELECT label, CASE WHEN vec_id % 3 = 0 THEN (label + 1) % 10 ELSE label END AS pred FROM embeddings",
 }
+COMMON |= {
+    "coarse": """SELECT ("row" - 1) // 3 + 1 AS r, (col - 1) // 3 + 1 AS c, elevation AS z FROM layers WHERE "row" % 3 = 1 AND col % 3 = 1""",
+    "coarse_line": """SELECT r, c, z, lag(z) OVER w AS l, lead(z) OVER w AS t FROM coarse WINDOW w AS (PARTITION BY r ORDER BY c)""",
+    "coarse_nine": """SELECT r, c, ((lag(t) OVER w + 2 * t + lead(t) OVER w) - (lag(l) OVER w + 2 * l + lead(l) OVER w)) / 240.0 AS dx, ((lead(l) OVER w + 2 * lead(z) OVER w + lead(t) OVER w) - (lag(l) OVER w + 2 * lag(z) OVER w + lag(t) OVER w)) / 240.0 AS dy FROM coarse_line WINDOW w AS (PARTITION BY c ORDER BY r)""",
+    "coarse_sloped": """SELECT r, c, degrees(atan(sqrt(dx * dx + dy * dy))) AS s FROM coarse_nine WHERE dx IS NOT NULL AND dy IS NOT NULL""",
+}
 KEYED = {"labels_": ' USING KEY ("row", col)'}
 
 
@@ -210,6 +216,9 @@ def oracle_sql() -> dict[str, str]:
         "elevation_summary": over(f"SELECT count(e) AS n, min(e) AS low, max(e) AS high, {percentiles('e', (1, 25, 50, 75, 99))}, {rint('100 * avg(CAST(e > 520 AS INT))', 4)} AS above_520, {rint('100 * avg(CAST(e <= 505 AS INT))', 4)} AS up_to_505 FROM (SELECT {rint('elevation', 4)} AS e FROM layers)"),
         "horn_slope": over('SELECT "row", col, slope FROM sloped'),
         "slope_exceedance": over(f"SELECT count(slope) AS n, min(slope) AS low, max(slope) AS high, {percentiles('slope', (50, 90, 99))}, " + ", ".join(f"{rint(f'100 * avg(CAST(slope > {c} AS INT))', 4)} AS above_{c}" for c in (5, 10, 15)) + " FROM sloped"),
+        "coarse_slope": over(f"""SELECT g."row", g.col, {rint('s + 1e-7', 4)} AS slope FROM grid g LEFT JOIN (SELECT "row", col, sum(w * s) / nullif(sum(w), 0) AS s FROM
+            (SELECT "row", col, r, c, (1 - abs(y - r)) * (1 - abs(x - c)) AS w FROM (SELECT "row", col, y, x, CAST(floor(y) AS BIGINT) + i AS r, CAST(floor(x) AS BIGINT) + j AS c FROM
+            (SELECT "row", col, (30 + ("row" + 0.5::DOUBLE) * 10) / 30.0 - 0.5 AS y, (30 + (col + 0.5::DOUBLE) * 10) / 30.0 - 0.5 AS x FROM grid), range(2) a(i), range(2) b(j))) JOIN coarse_sloped USING (r, c) GROUP BY "row", col) USING ("row", col)"""),
         "layer_stack_valid": over('SELECT "row", col, landcover <> 2 AND coalesce(red, 0) <> 0 AS valid FROM layers LEFT JOIN composed USING ("row", col)'),
         "window_clip": over(f'SELECT "row", col, {rint("elevation", 4)} AS elevation FROM layers WHERE "row" BETWEEN 23 AND 89 AND col BETWEEN 15 AND 59'),
         "mosaic_first_wins": over('SELECT "row", col, red, rank AS tile_rank FROM (SELECT "row", col, scene AS rank, min(red) AS red, row_number() OVER (PARTITION BY "row", col ORDER BY scene) AS i FROM looks GROUP BY "row", col, scene) WHERE i = 1'),

@@ -104,7 +104,7 @@ def slope_exceedance(spark, d):
 
 def coarse_slope(spark, d):
     out = resample.slope_by_coarse(layers(spark, d).select("row", "col", "elevation"), "elevation", GRID, 3, 1, "nearest")
-    return out.select("row", "col", rint(F.col("slope"), 4).alias("slope"))
+    return out.select("row", "col", rint(F.col("slope") + NUDGE, 4).alias("slope"))
 
 
 def layer_stack_valid(spark, d):

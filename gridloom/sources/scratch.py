@@ -14,7 +14,8 @@ def root(spark: SparkSession) -> str:
     """spark.checkpoint.dir as the session has it; only a local master without one gets a temporary folder."""
     if named := spark.conf.get("spark.checkpoint.dir", None):
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("spark.checkpoint.dir is unset; a cluster needs a shared folder there")
     if not _own:
         _own.append(f"file://{tempfile.mkdtemp(prefix='gridloom-')}")
