@@ -128,6 +128,8 @@ def test_layers_check_missing_and_windows(spark, tmp_path):
     with pytest.raises(ValueError, match="expected all"):
         layers.write(G.pixels(spark).filter("row > 0").withColumn("slope", F.lit(1.0)), root, "A", "slope", G)
     assert layers.probe(spark, root, "A", "elevation", G, 4).count() == 16
+    plan = layers.scan(spark, root, "A", "elevation", Window(3, 4, 5, 6)).select("elevation")._jdf.queryExecution().executedPlan().toString()
+    assert "stripe" in plan.split("PartitionFilters: ")[1].split("]")[0] and "GreaterThanOrEqual(row,4)" in plan and "elevation" in plan.split("ReadSchema: ")[1]
     table = layers.health(spark, {"good": lambda: 1, "bad": lambda: 1 / 0})
     assert {(r.name, r.ok) for r in table.collect()} == {("good", True), ("bad", False)}
 
