@@ -12,10 +12,10 @@ similarity of their shingle sets is at least ``SIMILARITY``; classes are the con
 2. Each node is tested against one candidate, the least leader of its buckets; confirmed
    links give first classes. A bucket of one class needs no more tests, so groups of near
    copies end here with one test a member.
-3. Buckets that hold several classes are searched whole: members of different classes
-   whose sketches agree in ``SKETCH_LEAST`` of the registers are verified by their sets, until
-   they join. Large buckets are searched block against block, so memory is bounded and
-   no pair is left out.
+3. Buckets that hold several classes are searched whole. Of two nodes the pair is tested,
+   unless it was. In larger ones members of different classes whose sketches agree in
+   ``SKETCH_LEAST`` of the registers are verified by their sets, until they join. Large
+   buckets are searched block against block, so memory is bounded and no pair is left out.
 4. Links of both steps give the classes, by alternating large and small stars.
 
 Skew: copies combine on the map side; bucket leaders go back to the members over salted keys;
@@ -192,9 +192,13 @@ def components(links: DataFrame) -> DataFrame:
     return parts(links).withColumnRenamed("part", "class")
 
 
-def first_links(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Confirmed links of each node with the least leader of its buckets. members: (key, node, lead)."""
-    pairs = members.filter("node != lead").groupBy(F.col("node").alias("a")).agg(F.min("lead").alias("b"))
+def first_pairs(members: DataFrame) -> DataFrame:
+    """Each node with the least leader of its buckets. members: (key, node, lead)."""
+    return members.filter("node != lead").groupBy(F.col("node").alias("a")).agg(F.min("lead").alias("b"))
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets are alike enough."""
     ends = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
 
     @F.pandas_udf("double")
@@ -224,11 +228,19 @@ def search(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"])
 
 
-def further_links(members: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links that buckets of several classes still hide: the largest class's blocks against the others', and these among themselves."""
+def further_links(members: DataFrame, classes: DataFrame, sets: DataFrame, tested: DataFrame) -> DataFrame:
+    """Links that buckets of several classes still hide.
+
+    A bucket of two nodes is one pair, and most of these were tested; the rest are confirmed by joins, once each.
+    In larger buckets the largest class's blocks are searched against the others', and these among themselves.
+    """
     named = members.join(classes, "node", "left").select("key", "node", F.coalesce("class", "node").alias("class"))
     by_class = named.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"))
     mixed = by_class.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("all"), F.max(F.struct("n", "class")).alias("top")).filter("classes > 1")
+    mixed = materialise(mixed, "mixed")
+    two = named.join(mixed.filter(F.col("all") == 2).select("key"), "key", "left_semi").groupBy("key").agg(F.max("node").alias("a"), F.min("node").alias("b")).select("a", "b").distinct()
+    plain = confirmed(two.join(tested, ["a", "b"], "left_anti"), sets)
+    mixed = mixed.filter(F.col("all") > 2)
     n_top, n_rest = F.ceil(F.col("top.n") / BLOCK).cast("int"), F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int")
     rows = named.join(mixed.select("key", F.col("top.class").alias("top_class"), n_top.alias("nt"), n_rest.alias("nr")), "key")
     is_top, h = F.col("class") == F.col("top_class"), F.xxhash64("node")
@@ -242,9 +254,9 @@ def further_links(members: DataFrame, classes: DataFrame, sets: DataFrame) -> Da
     among = F.transform(F.sequence(F.lit(0), F.col("nr") - 1), lambda k: seat("r", F.least(own_rest, k), F.greatest(own_rest, k), F.when(own_rest == k, 2).otherwise(F.when(own_rest < k, 0).otherwise(1))))
     one = F.array(seat("a", F.lit(0), F.lit(0), F.lit(2)))
     seats = F.when(F.col("all_small"), one).when(is_top, across_top).otherwise(F.concat(across_rest, among))
-    # A pair may meet in several bands; the groups are equal then in all but their key, and only one is searched.
     dealt = rows.withColumn("all_small", (F.col("nt") == 1) & (F.col("nr") == 1)).withColumn("seat", F.explode(seats)).select("key", "seat.*", "node", "class")
-    return dealt.join(sets, "node").groupBy("key", "kind", "i", "j").applyInPandas(lambda rows: search(rows), "a binary, b binary")
+    found = dealt.join(sets, "node").groupBy("key", "kind", "i", "j").applyInPandas(lambda rows: search(rows), "a binary, b binary")
+    return plain.unionByName(found)
 
 
 def classes_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -267,8 +279,9 @@ def classes_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     sources = plain.join(wanted, (F.col("th") == F.col("want_th")) & F.col("doc_id").eqNullSafe(F.col("want_id"))).select("node", "text")
     sets = materialise(sources.mapInPandas(sets_of, "node binary, set binary, sketch binary").dropDuplicates(["node"]), "sets")
 
-    links = materialise(first_links(members, sets), "links")
-    more = materialise(further_links(members, materialise(components(links), "classes"), sets), "links")
+    pairs = materialise(first_pairs(members), "pairs")
+    links = materialise(confirmed(pairs, sets), "links")
+    more = materialise(further_links(members, materialise(components(links), "classes"), sets, pairs), "links")
     classes = components(links.unionByName(more))
 
     joined = nodes.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
