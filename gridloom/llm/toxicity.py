@@ -131,7 +131,8 @@ def train(texts: list[str], toxic: list[int], steps: int = STEPS) -> Model:
 
 
 def held_out(doc_id: Column) -> Column:
-    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
+    """Rows kept out of training; a null id counts as an empty text."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST) -> Model:
