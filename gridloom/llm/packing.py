@@ -59,7 +59,7 @@ class Encoder:
     def __call__(self, text: str) -> np.ndarray:
         if self.fast is None or any(s in text for s in self.special):
             return np.array(self.plain.encode(text, add_special_tokens=False).ids, "<u4")
-        return np.asarray(self.fast.encode_ordinary(text), "<u4")
+        return np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), "<u4")
 
 
 @lru_cache(2)
