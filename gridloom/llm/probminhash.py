@@ -234,15 +234,15 @@ def further_links(members: DataFrame, classes: DataFrame, sets: DataFrame, teste
     A bucket of two nodes is one pair, and most of these were tested; the rest are confirmed by joins, once each.
     In larger buckets the largest class's blocks are searched against the others', and these among themselves.
     """
-    named = members.join(classes, "node", "left").select("key", "node", F.coalesce("class", "node").alias("class"))
-    by_class = named.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"))
-    mixed = by_class.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("all"), F.max(F.struct("n", "class")).alias("top")).filter("classes > 1")
+    named = members.join(classes, "node", "left").select("key", "node", _salt("node").alias("salt"), F.coalesce("class", "node").alias("class"))
+    by_class = named.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("mask"))
+    mixed = by_class.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("all"), F.max(F.struct("n", "class")).alias("top"), F.bit_or("mask").alias("mask")).filter("classes > 1")
     mixed = materialise(mixed, "mixed")
     two = named.join(mixed.filter(F.col("all") == 2).select("key"), "key", "left_semi").groupBy("key").agg(F.max("node").alias("a"), F.min("node").alias("b")).select("a", "b").distinct()
     plain = confirmed(two.join(tested, ["a", "b"], "left_anti"), sets)
     mixed = mixed.filter(F.col("all") > 2)
     n_top, n_rest = F.ceil(F.col("top.n") / BLOCK).cast("int"), F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int")
-    rows = named.join(mixed.select("key", F.col("top.class").alias("top_class"), n_top.alias("nt"), n_rest.alias("nr")), "key")
+    rows = named.join(_masked(mixed.select("key", "mask", F.col("top.class").alias("top_class"), n_top.alias("nt"), n_rest.alias("nr")), "key", SALTS), ["key", "salt"])
     is_top, h = F.col("class") == F.col("top_class"), F.xxhash64("node")
     own_top, own_rest = F.pmod(h, F.col("nt")).cast("int"), F.pmod(h, F.col("nr")).cast("int")
 
