@@ -42,7 +42,7 @@ from gridloom.operators.graph import parts
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
-SKETCH_LEAST, BLOCK, SALTS, AT_ONCE = 0.6, 2048, 32, 1 << 21
+SKETCH_LEAST, BLOCK, SALTS, AT_ONCE = 0.4, 2048, 32, 1 << 21
 U = np.uint64
 ODD, GOLDEN = U(0x9E3779B97F4A7C15 | 1), U(0x9E3779B97F4A7C15)
 
