@@ -91,6 +91,27 @@ def test_classes_equal_brute_force(spark, monkeypatch, block):
     assert got == want
 
 
+def repeated(seed=5):
+    """Pairs at 0.8 or a little more, where one text says a passage up to a thousand times and the other once."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(8))
+    out = []
+    for times in (10, 100, 1000):
+        for _ in range(12):
+            base, passage = [word() for _ in range(160)], [word() for _ in range(36)]
+            out += [" ".join(base + passage), " ".join(base + passage * times + [word() for _ in range(36)])]
+    out += [" ".join([word() for _ in range(160)] + out[1].split()[160:196] * 50) for _ in range(6)]  # the passage alone makes no link
+    return list(enumerate(out))
+
+
+def test_a_passage_repeated_in_one_copy_hides_no_pair(spark):
+    rows = repeated()
+    want = plain_classes(rows)
+    assert sum(i != c for i, c in want.items()) == 36
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {r.doc_id: r.class_id for r in pm.classes_of(df).collect()} == want
+
+
 def test_stage_keeps_one_row_of_each_class(docs, empty, texts):
     more = docs.withColumn("node", F.lit(1)).withColumn("salt", F.lit(2)).withColumn("th", F.lit(3))
     out = pm.keep_one(more)
