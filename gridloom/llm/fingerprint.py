@@ -8,14 +8,18 @@ subtracting its vector (``add``, ``subtract``) without the rest of the text.
 The vector has two parts:
 
 * ``dense``: ``WIDE`` lanes modulo 2**60 cut from a SHA-512 of the paragraph. They carry equality.
-* ``lanes``: ``LEVELS`` banks of ``LANES`` sums modulo 2**24. The paragraph's clauses (cut behind
-  punctuation, and behind words that end in a rarer letter, so that a cut depends on
-  nearby characters alone) each add 12 hashed bits, and below them a count of one, to one
-  lane; bank b takes the clauses whose hash is divisible by 4**b. They carry likeness.
+* ``lanes``: ``LANES`` sums modulo 2**40, a count sketch. Of the paragraph's features each adds its
+  weight, with a hashed sign, to one hashed lane. They carry likeness.
 
-Likeness of two fingerprints: of the finest bank that neither fills beyond ``FULL`` lanes,
-the share of lanes used by either in which both have the same mean, so that a passage
-repeated four times is like the same repeated six times. Equal texts have likeness 1.
+Features are clauses, cut behind punctuation and behind words that end in a rarer letter; a clause
+of more than ``LONG`` characters gives its pairs of neighbouring words instead, and a word of more
+than ``LONG`` also every run of ``GRAM`` characters. So a feature depends on nearby characters
+alone and no line is a single one. A feature that a paragraph holds n times weighs sqrt(n) (times
+``SCALE``, rounded), so that its share of the square norm is its share of the paragraph.
+
+Likeness of two fingerprints is the cosine of their lanes, 0 where that is negative: all features
+of a text of any length count, its standard error is about 1 / sqrt(``LANES``) and a text is like
+the same text repeated. Equal texts have likeness 1.
 
 The next document comes by descending id, and after the last the first. Rows are dealt
 into ranges of ids with bounds from quantiles; the first row of each range also travels
@@ -33,8 +37,8 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.common import let, table, whole_text
 
-WIDE, LEVELS, LANES, FULL, RANGES = 6, 7, 32, 20, 4096
-DENSE_MOD, LANE_MOD, COUNTS = 1 << 60, 1 << 24, 1 << 12
+WIDE, LANES, LONG, GRAM, SCALE, RANGES = 6, 512, 64, 8, 8, 4096
+DENSE_MOD, LANE_MOD, WEIGHTS = 1 << 60, 1 << 40, 1 << 24
 CUT = r"(?<=[\p{Punct}dykgzx])[\x20\t]+"
 
 
@@ -47,31 +51,54 @@ def dense_of(paras: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(WIDE - 1)), lambda lane: F.aggregate(hashed, F.lit(0).cast("long"), lambda a, h: (a + F.conv(F.substr(h, lane * 16 + 1, F.lit(15)), 16, 10).cast("long")) % DENSE_MOD))
 
 
-def lanes_of(paras: Column) -> Column:
-    """LEVELS * LANES sums. A clause is told apart by bits of one hash: level, then lane, then value."""
-    hashes = F.flatten(F.transform(paras, lambda p: F.transform(F.split(p, CUT), lambda c: F.xxhash64(c))))
+def features(para: Column) -> Column:
+    """The hash of every feature of a paragraph."""
+    def grams(word: Column) -> Column:
+        return let(F.split(word, ""), lambda c: F.transform(F.sequence(F.lit(1), F.size(c) - (GRAM - 1)), lambda i: F.xxhash64(F.slice(c, i, F.lit(GRAM)))))
+
+    def pairs(words: Column) -> Column:
+        both = F.transform(words, lambda w, i: F.xxhash64(w, F.coalesce(F.get(words, i + 1), F.lit(""))))
+        return F.concat(both, F.flatten(F.transform(F.filter(words, lambda w: F.length(w) > LONG), grams)))
+
+    return F.flatten(F.transform(F.split(para, CUT), lambda c: F.when(F.length(c) <= LONG, F.array(F.xxhash64(c))).otherwise(let(F.split(c, r"\s+"), pairs))))
+
+
+def weighted(hashes: Column) -> Column:
+    """Each different hash once, its weight in place of its low 24 bits."""
+    def runs(h: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda i: (i == 0) | (F.get(h, i) != F.get(h, i - 1)))
+        return let(starts, lambda s: F.transform(s, lambda at, k: marked(F.get(h, at), F.round(SCALE * F.sqrt(F.coalesce(F.get(s, k + 1), F.size(h)) - at)).cast("long"))))
 
-    def bank(own: Column) -> Column:
-        """Eight halves first, then four lanes in each: 12 looks at a hash instead of 32."""
-        def lanes(part: Column) -> Column:
-            return F.transform(F.sequence(F.lit(0), F.lit(3)), lambda j: F.aggregate(part, F.lit(0), lambda a, h: F.when(F.shiftrightunsigned(h, 24).bitwiseAND(F.lit(3)) == j, (a + F.shiftrightunsigned(h, 40).bitwiseAND(F.lit(COUNTS - 1)).cast("int") * COUNTS + 1) % LANE_MOD).otherwise(a)))
-        return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LANES // 4 - 1)), lambda k: let(F.filter(own, lambda h: F.shiftrightunsigned(h, 26).bitwiseAND(F.lit(7)) == k), lanes)))
+    def marked(h: Column, weight: Column) -> Column:
+        return h.bitwiseAND(F.lit(-WEIGHTS)).bitwiseOR(weight)
 
-    zero = F.array_repeat(F.lit(0), LANES)
+    return let(F.array_sort(hashes), runs)
 
-    def all_banks(hs: Column) -> Column:
-        banks = [let(hs if level == 0 else _divisible(hs, 4**level), lambda o: F.when(F.size(o) == 0, zero).otherwise(bank(o))) for level in range(LEVELS)]
-        return F.concat(*banks)
 
-    return let(hashes, all_banks)
+def lanes_of(paras: Column) -> Column:
+    """LANES sums. Bits 24 to 32 of a hash tell the lane, bit 40 the sign."""
+    def value(h: Column) -> Column:
+        weight = h.bitwiseAND(F.lit(WEIGHTS - 1))
+        return F.when(F.getbit(h, F.lit(40)) == 1, weight).otherwise(-weight)
+
+    def bits(h: Column, at: int) -> Column:
+        return F.shiftrightunsigned(h, at).bitwiseAND(F.lit(7))
+
+    none = F.lit(0).cast("long")
 
+    def eight(part: Column, at: int) -> Column:
+        """Three splits by three bits: 24 looks at a hash instead of 512."""
+        each = F.sequence(F.lit(0), F.lit(7))
+        if at == 24:
+            return F.when(F.size(part) == 0, F.array_repeat(none, 8)).otherwise(F.transform(each, lambda j: F.aggregate(part, none, lambda a, h: F.when(bits(h, 24) == j, a + value(h)).otherwise(a))))
+        return F.flatten(F.transform(each, lambda k: let(F.filter(part, lambda h: bits(h, at) == k), lambda own: eight(own, at - 3))))
 
-def _divisible(hashes: Column, power: int) -> Column:
-    return F.filter(hashes, lambda h: h.bitwiseAND(F.lit(power - 1)) == 0)
+    all_of = F.flatten(F.transform(paras, lambda p: weighted(features(p))))
+    return F.transform(let(all_of, lambda hs: eight(hs, 30)), lambda v: F.pmod(v, F.lit(LANE_MOD)))
 
 
 def fingerprint(text: Column) -> Column:
-    """struct<dense: array<long>, lanes: array<int>> of a text that isn't null."""
+    """struct<dense: array<long>, lanes: array<long>> of a text that isn't null."""
     return let(paragraphs(text), lambda p: F.struct(dense_of(p).alias("dense"), lanes_of(p).alias("lanes")))
 
 
@@ -92,30 +119,24 @@ def subtract(a: Column, b: Column) -> Column:
     return _combined(a, b, -1)
 
 
-def same_mean(x: Column, y: Column) -> Column:
-    """Whether two lanes hold the same values in the same proportions; an empty lane is like none."""
-    m, n = x % COUNTS, y % COUNTS
-    scaled = (F.floor(x / COUNTS) * n - F.floor(y / COUNTS) * m) % COUNTS == 0
-    return (x == y) | ((x != 0) & (y != 0) & (m != n) & scaled)
-
-
 def likeness(a: Column, b: Column) -> Column:
-    """Share of agreeing lanes, 0 to 1; 1 where the fingerprints are equal."""
-    def used(lanes: Column, level: Column) -> Column:
-        return F.size(F.filter(F.slice(lanes, level * LANES + 1, F.lit(LANES)), lambda v: v != 0))
+    """Cosine of the lanes, 0 to 1; 1 where the fingerprints are equal."""
+    def signed(lanes: Column) -> Column:
+        return F.transform(lanes, lambda v: F.when(v >= LANE_MOD // 2, v - LANE_MOD).otherwise(v).cast("double"))
+
+    def dot(x: Column, y: Column) -> Column:
+        return F.aggregate(F.zip_with(x, y, lambda v, w: v * w), F.lit(0.0), lambda s, v: s + v)
 
-    def at(level: Column) -> Column:
-        pairs = F.arrays_zip(F.slice(a["lanes"], level * LANES + 1, F.lit(LANES)).alias("x"), F.slice(b["lanes"], level * LANES + 1, F.lit(LANES)).alias("y"))
-        either = F.filter(pairs, lambda p: (p["x"] != 0) | (p["y"] != 0))
-        return F.when(F.size(either) == 0, 0.0).otherwise(F.size(F.filter(either, lambda p: same_mean(p["x"], p["y"]))) / F.size(either))
+    def cosine(p: Column) -> Column:
+        norms = F.sqrt(dot(p["x"], p["x"])) * F.sqrt(dot(p["y"], p["y"]))
+        return let(norms, lambda n: F.when(n == 0, 0.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), dot(p["x"], p["y"]) / n))))
 
-    level = F.aggregate(F.sequence(F.lit(0), F.lit(LEVELS - 1)), F.lit(-1), lambda found, k: F.when(found >= 0, found).when(F.greatest(used(a["lanes"], k), used(b["lanes"], k)) <= FULL, k).otherwise(found))
-    return F.when(a["dense"] == b["dense"], 1.0).otherwise(let(F.when(level < 0, LEVELS - 1).otherwise(level), at))
+    return F.when(a["dense"] == b["dense"], 1.0).otherwise(let(F.struct(signed(a["lanes"]).alias("x"), signed(b["lanes"]).alias("y")), cosine))
 
 
 def text_form(f: Column) -> Column:
     dense = F.array_join(F.transform(f["dense"], lambda v: F.lpad(F.hex(v), 15, "0")), "")
-    lanes = F.array_join(F.transform(f["lanes"], lambda v: F.lpad(F.hex(v.cast("long")), 6, "0")), "")
+    lanes = F.array_join(F.transform(f["lanes"], lambda v: F.lpad(F.hex(v), 10, "0")), "")
     return F.lower(F.concat(dense, F.lit(":"), lanes))
 
 

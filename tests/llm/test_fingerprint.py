@@ -48,3 +48,13 @@ def test_edits_stay_near(spark):
     near = [r for r in rows if r.n_chars >= 200]
     assert sum(r.near_edited > r.near_next for r in near) >= 0.93 * len(near)
     assert rows[0].edited_sha256 != hashlib.sha256(b"").hexdigest()
+
+
+def test_every_edited_text_is_like_its_own(spark):
+    one = " ".join(["Ndtion"] * 2700)
+    prose = " ".join(f"word{i}n than{i}e" for i in range(1500))
+    cases = [(one, prose), (prose, one), ("\u6f22\u5b57\u304b\u306a" * 900 + "".join(chr(0x4E00 + i) for i in range(3000)), prose), ("\n".join(f"line {i} of many, and more." for i in range(3000)), one)]
+    df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(cases)], "i int, x string, y string").withColumn("e", fp.edited(F.col("x"), F.col("y")))
+    f = {k: fp.fingerprint(F.col(k)) for k in "xye"}
+    for r in df.select("i", fp.likeness(f["x"], f["e"]).alias("near"), fp.likeness(f["x"], f["y"]).alias("far")).collect():
+        assert r.near > 0.35 and r.far < 0.2, r
