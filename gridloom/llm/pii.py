@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import let, regex_spans, table, whole_text
+from gridloom.llm.common import SPAN, let, regex_spans, running_total, table, whole_text
 
 THRESHOLD = 0.5
 BASE = ("email", "ip", "card", "phone")
@@ -49,6 +49,17 @@ KINDS = (
     Kind("ssn", r"(?<![A-Za-z0-9_])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9_])", 0.4, 0.1, "ssn|social security|social|taxpayer"),
 )
 AGAINST = "order|invoice|version|build|isbn|part|serial|ticket"
+# Characters of an IBAN by country, from the registry.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27,
+    "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HN": 28, "HR": 21, "HU": 28,
+    "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22,
+    "MK": 19, "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28, "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24,
+    "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20, "YE": 30,
+}
+_BY_LENGTH = "|".join(f"(?:{'|'.join(c for c, m in IBAN_LENGTHS.items() if m == n)})[0-9]{{2}}(?:\\x20?[A-Z0-9]){{{n - 4}}}" for n in sorted(set(IBAN_LENGTHS.values())))
+# Takes one character and looks ahead to the rest, so that no rejected candidate hides another.
+WHOLE_IBAN = rf"(?<![A-Za-z0-9_])(?=({_BY_LENGTH})(?![A-Za-z0-9_]))[A-Z]"
 SPANS = "array<struct<kind:string,start:int,end:int,score:double,rank:int>>"
 
 
@@ -108,6 +119,21 @@ def spans_of(text: Column, kind: Kind, rank: int, threshold: float) -> Column:
     return (out if kind.name in BASE else F.filter(out, lambda s: s["score"] >= threshold)).cast(SPANS)
 
 
+def whole_ibans(text: Column) -> Column:
+    """The spans of all account numbers of their country's length, whatever follows them."""
+    rank, kind = next((i, k) for i, k in enumerate(KINDS) if k.name == "iban")
+
+    def rows(p: Column) -> Column:
+        steps = F.transform(F.slice(p["gaps"], F.lit(1), F.size(p["found"])), lambda g, i: F.length(g) + F.when(i == 0, 0).otherwise(1))
+        return let(running_total(steps), lambda starts: F.transform(p["found"], lambda m, i: let(F.element_at(p["gaps"], i + 2), lambda after: F.struct(
+            F.element_at(starts, i + 1).alias("start"), (F.element_at(starts, i + 1) + F.length(m)).alias("end"), m.alias("match"),
+            F.right(F.element_at(p["gaps"], i + 1), F.lit(48)).alias("before"), F.left(F.substr(after, F.length(m)), F.lit(48)).alias("after")))))
+
+    pair = F.struct(F.split(text, WHOLE_IBAN, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(WHOLE_IBAN), F.lit(1)).alias("found"))
+    got = F.when(hint("iban", text), let(pair, rows)).otherwise(F.array().cast(SPAN))
+    return F.transform(F.filter(got, lambda s: mod97(s["match"])), lambda s: F.struct(F.lit("iban").alias("kind"), s["start"].alias("start"), s["end"].alias("end"), score(kind, s).alias("score"), F.lit(rank).alias("rank"))).cast(SPANS)
+
+
 def find(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """docs with __pii_spans: kind, start, end, score of every span, by kind as listed and then by start."""
     text = whole_text(F.col(text_col))
@@ -125,7 +151,8 @@ def count_of(spans: Column, kind: str) -> Column:
 def redact(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Every span gives way to its kind in brackets; overlapping spans become one, named by the first.
 
-    A null text stays null. Other columns stay as they are.
+    A null text stays null. Other columns stay as they are. Account numbers also give way where the
+    pattern of the kind, which op2_pii shares with its SQL, runs on into the words behind them.
     """
     by_start = F.array_sort(F.transform(F.col("__pii_spans"), lambda s: F.struct(s["start"], s["end"], s["kind"])))
     none = F.array().cast("array<struct<start:int,end:int,kind:string>>")
@@ -143,7 +170,9 @@ def redact(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD
 
     merged = F.aggregate(by_start, none, merge)
     clean = F.when(F.size("__pii_spans") == 0, F.col(text_col)).otherwise(let(merged, rebuilt))
-    return find(docs, text_col, threshold).withColumn(text_col, clean).select(*docs.columns)
+    more = F.filter(whole_ibans(whole_text(F.col(text_col))), lambda s: s["score"] >= threshold)
+    found = find(docs, text_col, threshold).withColumn("__pii_spans", F.concat("__pii_spans", more))
+    return found.withColumn(text_col, clean).select(*docs.columns)
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

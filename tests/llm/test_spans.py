@@ -63,6 +63,21 @@ def test_redaction(docs, empty):
     assert pii.redact(empty).count() == 0 and pii.find(empty).count() == 0
 
 
+def test_account_numbers_are_redacted_whatever_follows(spark):
+    gb, de, no = "GB82WEST12345698765432", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947"
+    cases = [(f"{x} {y}", f"[IBAN] {y}") for x in (gb, de, no) for y in ("BIC code", "EUR", "100 USD", "17", "A B C D E F", "paid", "")]
+    cases += [(f"{gb} {de} {no}", "[IBAN] [IBAN] [IBAN]"), (f"é😀 GB12 {de} X", "é😀 GB12 [IBAN] X"), (f"{gb}ABC x{gb}", f"{gb}ABC x{gb}"), ("GB82WEST12345698765433 BIC", "GB82WEST12345698765433 BIC"), (None, None)]
+    out = pii.redact(spark.createDataFrame([(i, x) for i, (x, _) in enumerate(cases)], "i int, text string")).collect()
+    assert {r.i: r.text for r in out} == {i: want for i, (_, want) in enumerate(cases)}
+
+
+@pytest.mark.parametrize("text", ["GB82 " * 40_000, "GB82WEST12345698765432 " * 8_000])
+def test_long_runs_of_account_numbers_are_linear(spark, text):
+    t = time.time()
+    pii.redact(spark.createDataFrame([(1, text)], "doc_id int, text string")).collect()
+    assert time.time() - t < 20
+
+
 @pytest.mark.parametrize("text", ["7" * 200_000, "a" * 200_000, "a@" * 60_000, "1." * 80_000, "+1" * 60_000, "token" * 30_000, "ab12" * 50_000])
 def test_long_runs_are_linear(spark, text):
     df = spark.createDataFrame([(1, text)], "doc_id int, text string")
