@@ -2,7 +2,8 @@
 
 Both steps are an aggregation and a join; a hub's rows meet only in joins, whose skewed
 partitions the engine splits. Each round is a table in the shared folder, so lineage stays
-short and a lost executor costs one round's tasks.
+short and a lost executor costs one round's tasks; the round before is deleted then. The number
+of rounds grows with the logarithm of the longest path; ``most`` only guards against a fault.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.sources.scratch import materialise
+from gridloom.sources.scratch import discard, materialise
 
 
 def _named(stars: DataFrame) -> DataFrame:
@@ -31,7 +32,8 @@ def parts(edges: DataFrame, most: int = 60) -> DataFrame:
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         ends = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v"))))
-        pairs = materialise(large.join(down, "u").select(ends.alias("e")).select("e.*").filter("u != v").distinct(), "edges")
+        before, pairs = pairs, materialise(large.join(down, "u").select(ends.alias("e")).select("e.*").filter("u != v").distinct(), "edges")
+        discard(before)
         now = tuple(pairs.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
         if now == state:
             return _named(pairs)

@@ -30,4 +30,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Writes a table and reads it again: lineage ends there."""
     at = path(df.sparkSession, name)
     df.write.parquet(at)
-    return df.sparkSession.read.schema(df.schema).parquet(at)
+    out = df.sparkSession.read.schema(df.schema).parquet(at)
+    out._scratch_path = at
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that materialise returned, once nothing reads them any more; others are left alone."""
+    for df in tables:
+        if at := getattr(df, "_scratch_path", None):
+            spark = df.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(at)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from gridloom.grid import Grid, Window
+from gridloom.sources.files import arrow_uri, file_system
 
 # Tags and field sizes of the file format.
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, STRIP_AT, SAMPLES, ROWS_PER_STRIP, STRIP_BYTES, PLANAR = 256, 257, 258, 259, 262, 273, 277, 278, 279, 284
@@ -164,8 +165,6 @@ def write_stripes(layer: DataFrame, values: list[str], grid: Grid, folder: str,
     Returns (stripe, file) once run; a file's name is its stripe's, and a repeated task writes the same bytes.
     """
     def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        from pyarrow import fs
-
         top = int(key[0]) * stripe
         height = min(stripe, grid.height - top)
         bands = np.full((len(values), height, grid.width), nodata, dtype)
@@ -173,13 +172,14 @@ def write_stripes(layer: DataFrame, values: list[str], grid: Grid, folder: str,
             known = rows[name].notna().to_numpy()
             bands[b, rows["row"].to_numpy()[known] - top, rows["col"].to_numpy()[known]] = rows[name].to_numpy()[known].astype(dtype)
         own = Grid(grid.epsg, grid.x0, grid.y0 - top * grid.res, grid.res, grid.width, height)
-        system, root = fs.FileSystem.from_uri(folder)
+        system, root = file_system(folder)
         system.create_dir(root, recursive=True)
         name = f"stripe-{int(key[0]):06d}.tif"
         with system.open_output_stream(f"{root}/{name}") as out:
             out.write(to_bytes(bands, own, nodata))
         return pd.DataFrame({"stripe": [int(key[0])], "file": [name]})
 
+    arrow_uri(folder)  # a store that the tasks can't write to is refused here
     dealt = layer.select("row", "col", *values).withColumn("stripe", F.expr(f"CAST(row DIV {stripe} AS INT)"))
     return dealt.groupBy("stripe").applyInPandas(one, "stripe int, file string")
 
