@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.sources.scratch import materialise
+from gridloom.sources.scratch import discard, materialise
 from gridloom.sources.scratch import path as scratch_path
 
-__all__ = ["SPAN", "let", "materialise", "regex_spans", "running_total", "scratch_path", "table", "whole_text"]
+__all__ = ["HOT", "SPAN", "discard", "give_back", "let", "materialise", "regex_spans", "running_total", "scratch_path", "table", "whole_text"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,25 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+HOT = 20_000
+
+
+def give_back(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, deal_by: str, how: str = "left", hot: int = HOT) -> DataFrame:
+    """rows joined to groups, a written table of one row for each key with its number of rows in ``size``.
+
+    Groups of more than 1 / hot of all rows are fewer than hot, so their keys (and only these) are
+    broadcast; their rows are dealt over as many copies of the group as they hold such shares.
+    So no task gets more than a share of the rows of one key, at any size of the table. __gb_salt,
+    which follows from deal_by, stays: a window by the keys and it needs no further shuffle.
+    """
+    share = (groups.agg(F.sum(size)).first()[0] or 0) // hot + 1
+    copies = F.floor((F.col(size) - 1) / share).cast("int")
+    large = groups.filter(F.col(size) > share).select(*keys, (copies + 1).alias("__gb_copies"))
+    dealt = rows.join(F.broadcast(large), keys, "left").withColumn("__gb_salt", F.pmod(F.xxhash64(deal_by), F.coalesce("__gb_copies", F.lit(1))).cast("int"))
+    spread = groups.withColumn("__gb_salt", F.explode(F.sequence(F.lit(0), F.greatest(copies, F.lit(0)))))
+    return dealt.join(spread, [*keys, "__gb_salt"], how).drop("__gb_copies")
+
+
 def whole_text(column: Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))
 

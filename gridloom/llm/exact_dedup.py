@@ -6,10 +6,12 @@ by the whole text beside its digest, so equality never rests on the digest alone
 
 1. every task combines its own rows (the map side of the first aggregation),
 2. groups salted by the row's id combine, so a text that holds a third of all rows is
-   spread over ``salts`` tasks,
-3. the salts' winners, at most ``salts`` a text, combine into one.
+   spread over ``SALTS`` tasks,
+3. the salts' winners, at most ``SALTS`` a text, combine into one.
 
-Decisions go back to the rows through the same (digest, salt) groups.
+The third step also counts the texts of each digest. Where a digest has one, that step has
+compared the whole text of all its rows, and decisions go back to the rows by the digest;
+the rows of a digest with several texts (a collision) get theirs by the whole text.
 
 Defined cases: of equal texts the smallest id stays; null ids lose to all others; of rows
 that repeat id and text exactly one stays (the first by ``ties``); an empty table gives
@@ -18,12 +20,12 @@ an empty result; other columns pass through untouched, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import table, whole_text
+from gridloom.llm.common import give_back, materialise, table, whole_text
 
 SALTS = 32
 
@@ -33,28 +35,37 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(whole_text(text), r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ")
 
 
-def annotate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ties: Sequence[str] = (), salts: int = SALTS) -> DataFrame:
+def sha256(text: Column) -> Column:
+    return F.unhex(F.sha2(text, 256))
+
+
+def annotate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ties: Sequence[str] = (), salts: int = SALTS, digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """The rows of docs with __dd_keep_id, __dd_size, __dd_kept and __dd_digest."""
-    if not 1 <= salts <= 62:
-        raise ValueError("salts must be from 1 to 62, a bit of a long each")
     norm = normalised(F.col(text_col))
-    keyed = docs.withColumn("__dd_digest", F.unhex(F.sha2(norm, 256))).withColumn("__dd_salt", F.pmod(F.xxhash64(F.col(id_col)), F.lit(salts)).cast("int"))
-    salted = (
-        keyed.select("__dd_digest", "__dd_salt", norm.alias("__dd_norm"), F.col(id_col).alias("__dd_id"))
-        .groupBy("__dd_digest", "__dd_salt", "__dd_norm")
-        .agg(F.min("__dd_id").alias("__dd_id"), F.count(F.lit(1)).alias("__dd_n"))
-    )
-    winners = (
-        salted.groupBy("__dd_digest", "__dd_norm")
-        .agg(F.min("__dd_id").alias("__dd_keep_id"), F.sum("__dd_n").alias("__dd_size"), F.bit_or(F.expr("shiftleft(1L, __dd_salt)")).alias("__dd_mask"))
-        .select("__dd_digest", "__dd_keep_id", "__dd_size", F.explode(F.filter(F.sequence(F.lit(0), F.lit(salts - 1)), lambda s: F.getbit(F.col("__dd_mask"), s) == 1)).alias("__dd_salt"))
+    keyed = docs.withColumn("__dd_digest", digest(norm))
+    texts = (
+        keyed.select("__dd_digest", F.pmod(F.xxhash64(F.col(id_col)), F.lit(salts)).cast("int").alias("__dd_salt"), norm.alias("__dd_norm"), F.col(id_col).alias("__dd_id"))
+        .groupBy("__dd_digest", "__dd_salt", "__dd_norm").agg(F.min("__dd_id").alias("__dd_id"), F.count(F.lit(1)).alias("__dd_n"))
+        .groupBy("__dd_digest", "__dd_norm").agg(F.min("__dd_id").alias("__dd_keep_id"), F.sum("__dd_n").alias("__dd_size"))
     )
-    same = Window.partitionBy("__dd_digest", "__dd_salt", id_col).orderBy(*(ties or ["__dd_salt"]))
+    groups = materialise(texts.groupBy("__dd_digest").agg(F.count(F.lit(1)).alias("__dd_texts"), F.min("__dd_keep_id").alias("__dd_keep_id"), F.sum("__dd_size").alias("__dd_size")), "digests")
+    several = groups.filter("__dd_texts > 1").select("__dd_digest")
+    keys = ["__dd_digest"]
+    if not several.isEmpty():  # a digest of several texts: its rows meet by their texts
+        texts = texts.join(several, "__dd_digest", "left_semi")
+        own = F.when(F.col("__dd_texts").isNotNull(), normalised(F.col(text_col)))
+        keyed = keyed.join(several.withColumn("__dd_texts", F.lit(True)), "__dd_digest", "left").withColumn("__dd_own", F.coalesce(own, F.lit(""))).drop("__dd_texts")
+        plain = groups.filter("__dd_texts = 1").select("__dd_digest", F.lit("").alias("__dd_own"), "__dd_keep_id", "__dd_size")
+        groups = materialise(plain.unionByName(texts.withColumnRenamed("__dd_norm", "__dd_own")), "digests")
+        keys = ["__dd_digest", "__dd_own"]
+    else:
+        groups = groups.drop("__dd_texts")
+    same = Window.partitionBy(*keys, "__gb_salt", id_col).orderBy(*(ties or [F.lit(0)]))
     return (
-        keyed.join(winners, ["__dd_digest", "__dd_salt"])
+        give_back(keyed, groups, keys, "__dd_size", id_col, "inner")
         .withColumn("__dd_nth", F.row_number().over(same))
         .withColumn("__dd_kept", F.col(id_col).eqNullSafe(F.col("__dd_keep_id")) & (F.col("__dd_nth") == 1))
-        .drop("__dd_nth", "__dd_salt")
+        .drop("__dd_nth", "__dd_own", "__gb_salt")
     )
 
 
