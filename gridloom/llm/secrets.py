@@ -1,14 +1,14 @@
 r"""Secret scans over an incremental blob ledger, on DataFrame functions alone.
 
 Every version of every path is addressed by the SHA-256 of its content. The ledger holds
-one row for each blob and rule version already scanned; a run scans only the pairs the
-ledger lacks, each blob once however many paths hold it, and joins findings back to all
-paths. A rule's version is a digest of its definition, so an edited rule is scanned anew
-and the others are not.
+one row for each pair of a blob and a rule version already scanned, with what it found; a run scans only the pairs the ledger lacks, each blob once however many paths hold
+it, appends them, and joins the ledger's findings back to all paths. A rule's version is a
+digest of its definition, so an edited rule is scanned anew and the others are not. Pairs
+that stand in the ledger twice (a run repeated, two runs at once) count once.
 
 Skew: a blob that a third of all paths hold is combined on the map side, so each task
-sends it once and it is scanned once; the way back to the paths goes through (blob, salt)
-groups, so no task gets all paths of a blob.
+sends it once and it is scanned once; the way back to the paths is dealt over as many salts
+as the blob's share of all paths asks for, so no task gets all paths of a blob.
 
 Three base kinds always stay: assign (group 2 of 8 characters or more), access (16 or
 more) and hex (32 or more). The method adds key headers, tokens with a fixed prefix and
@@ -28,11 +28,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import regex_spans, table, whole_text
+from gridloom.llm.common import discard, give_back, materialise, regex_spans, scratch_path, table, whole_text
 from gridloom.llm.pii import sql_spans
 
-SALTS = 32
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -48,17 +46,24 @@ class Rule:
 
 
 _WORDS = "password|passwd|secret|token|api_?key"
-# Patterns.
+_BEGIN, _END = (rf"-----{word} (?:[A-Z]{{1,16}} ){{0,3}}PRIVATE KEY-----" for word in ("BEGIN", "END"))
+# Patterns. A private key runs to its END line, or without one to the end of its lines.
 RULES = (
     Rule("assign", rf"(?i:{_WORDS})[\"']?\x20*+[:=]\x20*+[\"']?[A-Za-z0-9+/_.=-]++", 8, rf"^(?i:{_WORDS})[\"']?\x20*+[:=]\x20*+[\"']?", rf"(?i:{_WORDS})"),
     Rule("access", r"AKIA[A-Z0-9]++", 16, "", "AKIA"),
     Rule("hex", r"(?:(?<![0-9a-f])|\G)[0-9a-f]++", 32, "", "[0-9a-f]{32}"),
-    Rule("private_key", r"-----BEGIN (?:[A-Z]{1,16} ){0,3}PRIVATE KEY-----", 0, "", "-----BEGIN"),
-    Rule("prefixed", r"(?<![A-Za-z0-9_])(?:gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,200}|sk_live_[A-Za-z0-9]{16,200})", 0, "", "gh[pousr]_|xox[abprs]-|sk_live_"),
+    Rule("private_key", rf"{_BEGIN}(?:[^-]*+(?:-[^-]++)*+{_END}|[A-Za-z0-9+/=\s]*+)", 0, "", "-----BEGIN"),
+    Rule("prefixed", r"(?<![A-Za-z0-9_])(?:gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}+|sk_live_[A-Za-z0-9]{16,}+)", 0, "", "gh[pousr]_|xox[abprs]-|sk_live_"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", 0, "", "eyJ"),
 )
 BASE = ("assign", "access", "hex")
 FINDINGS = "array<struct<start:int,end:int,kind:string,rank:int>>"
+LEDGER = f"blob binary, rule_version string, findings {FINDINGS}"
+
+
+def pair(rule: Rule) -> str:
+    """A rule's name in the ledger."""
+    return f"{rule.name}:{rule.version}"
 
 
 def scan_rule(text: Column, rule: Rule, rank: int) -> Column:
@@ -69,26 +74,23 @@ def scan_rule(text: Column, rule: Rule, rank: int) -> Column:
     return F.transform(kept, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(rule.name).alias("kind"), F.lit(rank).alias("rank"))).cast(FINDINGS)
 
 
-def address(versions: DataFrame, path_col: str, text_col: str, salts: int = SALTS) -> DataFrame:
+def address(versions: DataFrame, path_col: str, text_col: str) -> DataFrame:
+    """versions with each text's content address, and a hash that deals out the paths of one blob."""
     text = whole_text(F.col(text_col))
-    return versions.withColumn("__sc_text", text).withColumn("__sc_blob", F.unhex(F.sha2(text, 256))).withColumn("__sc_salt", F.pmod(F.xxhash64(F.col(path_col)), F.lit(salts)).cast("int"))
+    return versions.withColumn("__sc_text", text).withColumn("__sc_blob", F.unhex(F.sha2(text, 256))).withColumn("__sc_deal", F.xxhash64(F.col(path_col)))
 
 
 def scan_unseen(addressed: DataFrame, ledger: DataFrame | None = None, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """One row for each blob with a pair that the ledger lacks: blob, mask of salts, versions scanned, findings."""
-    blobs = addressed.groupBy("__sc_blob", "__sc_text").agg(F.bit_or(F.expr("shiftleft(1L, __sc_salt)")).alias("__sc_mask"), F.count(F.lit(1)).alias("__sc_n"))
-    text = F.when(F.col("__sc_n") > 0, F.col("__sc_text"))  # ties the scan to the combined row: no filter on findings moves it below
-    versions = [f"{r.name}:{r.version}" for r in rules]
+    """One row for each blob: its paths' number, the pairs that the ledger (none: an empty one) lacks, and what these find."""
+    blobs = addressed.groupBy("__sc_blob", "__sc_text").agg(F.count(F.lit(1)).alias("__sc_n"))
+    wanted = F.array(*[F.lit(pair(r)) for r in rules])
     if ledger is None:
-        blobs = blobs.withColumn("__sc_todo", F.array(*[F.lit(v) for v in versions]))
+        blobs = blobs.withColumn("__sc_todo", wanted)
     else:
-        seen = ledger.select(F.col("blob").alias("__sc_blob"), F.col("rule_version")).groupBy("__sc_blob").agg(F.collect_set("rule_version").alias("__sc_seen"))
-        blobs = (
-            blobs.join(seen, "__sc_blob", "left")
-            .withColumn("__sc_todo", F.array_except(F.array(*[F.lit(v) for v in versions]), F.coalesce("__sc_seen", F.array().cast("array<string>"))))
-            .filter(F.size("__sc_todo") > 0).drop("__sc_seen")
-        )
-    parts = [F.when(F.array_contains("__sc_todo", f"{r.name}:{r.version}"), scan_rule(text, r, i)).otherwise(F.array().cast(FINDINGS)) for i, r in enumerate(rules)]
+        seen = ledger.groupBy(F.col("blob").alias("__sc_blob")).agg(F.collect_set("rule_version").alias("__sc_seen"))
+        blobs = blobs.join(seen, "__sc_blob", "left").withColumn("__sc_todo", F.array_except(wanted, F.coalesce("__sc_seen", F.array().cast("array<string>")))).drop("__sc_seen")
+    text = F.when(F.col("__sc_n") > 0, F.col("__sc_text"))  # ties the scan to the combined row: no filter on findings moves it below
+    parts = [F.when(F.array_contains("__sc_todo", pair(r)), scan_rule(text, r, i)).otherwise(F.array().cast(FINDINGS)) for i, r in enumerate(rules)]
     return blobs.withColumn("__sc_found", F.concat(*parts)).drop("__sc_text")
 
 
@@ -98,27 +100,36 @@ def ledger_rows(scanned: DataFrame) -> DataFrame:
     return pairs.select("blob", "rule_version", F.filter("__sc_found", lambda s: s["kind"] == F.substring_index("rule_version", ":", 1)).alias("findings"))
 
 
-def to_paths(addressed: DataFrame, found: DataFrame, salts: int = SALTS) -> DataFrame:
-    """Every row of addressed with the findings of its blob; blobs without findings don't travel."""
-    some = found.filter(F.size("__sc_found") > 0)
-    spread = some.select("__sc_blob", "__sc_found", F.explode(F.filter(F.sequence(F.lit(0), F.lit(salts - 1)), lambda s: F.getbit(F.col("__sc_mask"), s) == 1)).alias("__sc_salt"))
-    rows = addressed.drop("__sc_text").join(spread, ["__sc_blob", "__sc_salt"], "left")
+def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
+    """The ledger at a path; an absent one is empty."""
+    spark.createDataFrame([], LEDGER).write.mode("append").parquet(ledger_path)
+    return spark.read.schema(LEDGER).parquet(ledger_path)
+
+
+def known(ledger: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """The findings of each blob by the rules as they are now, each once however often the ledger has its pair."""
+    rank = F.array_position(F.array(*[F.lit(r.name) for r in rules]), F.col("f.kind")).cast("int") - 1
+    some = ledger.filter(F.col("rule_version").isin([pair(r) for r in rules]) & (F.size("findings") > 0)).select("blob", F.explode("findings").alias("f"))
+    once = F.collect_set(F.struct(F.col("f.start").alias("start"), F.col("f.end").alias("end"), F.col("f.kind").alias("kind"), rank.alias("rank")))
+    return some.groupBy(F.col("blob").alias("__sc_blob")).agg(F.array_sort(once).cast(FINDINGS).alias("__sc_found"))
+
+
+def to_paths(addressed: DataFrame, found: DataFrame) -> DataFrame:
+    """Every row of addressed with the findings of its blob; blobs without findings don't travel. found: blob, its paths' number, findings."""
+    some = materialise(found.filter(F.size("__sc_found") > 0).select("__sc_blob", "__sc_n", "__sc_found"), "findings")
+    rows = give_back(addressed.drop("__sc_text"), some, ["__sc_blob"], "__sc_n", "__sc_deal").drop("__sc_n", "__sc_deal", "__gb_salt")
     return rows.withColumn("__sc_found", F.coalesce("__sc_found", F.array().cast(FINDINGS)))
 
 
 def update(versions: DataFrame, ledger_path: str, path_col: str = "path", text_col: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
     """Scans what the ledger at ledger_path lacks, appends it there and returns (path, blob, findings) for all versions."""
     spark = versions.sparkSession
-    schema = f"blob binary, rule_version string, findings {FINDINGS}"
-    spark.createDataFrame([], schema).write.mode("append").parquet(ledger_path)
     addressed = address(versions, path_col, text_col)
-    ledger = spark.read.schema(schema).parquet(ledger_path)
-    ledger_rows(scan_unseen(addressed, ledger, rules)).write.mode("append").parquet(ledger_path)
-    wanted = [f"{r.name}:{r.version}" for r in rules]
-    masks = addressed.groupBy("__sc_blob").agg(F.bit_or(F.expr("shiftleft(1L, __sc_salt)")).alias("__sc_mask"))
-    known = spark.read.schema(schema).parquet(ledger_path).filter(F.col("rule_version").isin(wanted) & (F.size("findings") > 0))
-    per_blob = known.groupBy(F.col("blob").alias("__sc_blob")).agg(F.array_sort(F.flatten(F.collect_list("findings"))).alias("__sc_found"))
-    rows = to_paths(addressed, masks.join(per_blob, "__sc_blob"))
+    scanned = materialise(scan_unseen(addressed, read_ledger(spark, ledger_path), rules), "scanned")
+    ledger_rows(scanned.filter(F.size("__sc_todo") > 0)).write.mode("append").parquet(ledger_path)
+    found = known(spark.read.schema(LEDGER).parquet(ledger_path), rules).join(scanned.select("__sc_blob", "__sc_n"), "__sc_blob")
+    rows = to_paths(addressed, found)
+    discard(scanned)
     return rows.select(path_col, F.lower(F.hex("__sc_blob")).alias("blob"), F.col("__sc_found").alias("findings"))
 
 
@@ -135,23 +146,23 @@ def count_of(spans: Column, kind: str) -> Column:
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    addressed = address(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
-    rows = to_paths(addressed, scan_unseen(addressed))
-    s = F.col("__sc_found")
+    """Through a ledger of the run's own in the shared folder, which starts empty."""
+    rows = update(table(spark, sf_dir, "documents").select("doc_id", "text"), scratch_path(spark, "ledger"), "doc_id")
+    s = F.col("findings")
     return rows.select(
         "doc_id",
         *[count_of(s, k).alias(f"n_{k}") for k in BASE],
         F.sha2(joined(by_start(F.filter(s, lambda x: x["rank"] < len(BASE)))), 256).alias("base_sha256"),
         joined(by_start(s)).alias("spans"),
-        F.lower(F.hex("__sc_blob")).alias("blob"),
+        "blob",
     )
 
 
 # The same in SQL, with the plain patterns. A ledger that starts empty changes nothing in a result. Case is spelt out: folding would take in letters beyond ASCII.
 _EITHER = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in _WORDS)
 _PLAIN = {
-    "assign": rf"(?:{_EITHER})[\"'']?\x20*[:=]\x20*[\"'']?[A-Za-z0-9+/_.=-]+", "access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]+", "private_key": r"-----BEGIN (?:[A-Z]{1,16} ){0,3}PRIVATE KEY-----",
-    "prefixed": r"\b(?:gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,200}|sk_live_[A-Za-z0-9]{16,200})", "jwt": r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
+    "assign": rf"(?:{_EITHER})[\"'']?\x20*[:=]\x20*[\"'']?[A-Za-z0-9+/_.=-]+", "access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]+", "private_key": rf"{_BEGIN}(?:[^-]*(?:-[^-]+)*{_END}|[A-Za-z0-9+/=\s]*)",
+    "prefixed": r"\b(?:gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,})", "jwt": r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
 }
 
 
