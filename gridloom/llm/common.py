@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridloom.sources.scratch import discard, materialise
 from gridloom.sources.scratch import path as scratch_path
 
-__all__ = ["HOT", "SPAN", "discard", "give_back", "let", "materialise", "regex_spans", "running_total", "scratch_path", "table", "whole_text"]
+__all__ = ["HOT", "SPAN", "discard", "give_back", "let", "materialise", "regex_spans", "running", "running_total", "scratch_path", "table", "whole_text"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,27 +45,31 @@ def whole_text(column: Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))
 
 
-def running_total(lengths: Column, block: int = 64) -> Column:
-    """Inclusive running sums of an int array.
+def running(values: Column, step: Callable[[Column, Column], Column], start: Column, block: int = 64) -> Column:
+    """Inclusive running results of an associative step over an array; start is its neutral element.
 
-    Sums run inside blocks and then over the block totals, so a text with n matches
+    Results run inside blocks and then over the blocks' own, so a text with n matches
     costs n * block steps and not n * n.
     """
-    n = F.size(lengths)
+    n = F.size(values)
 
-    def within(b: Column, offset: Column) -> Column:
-        return F.transform(b, lambda v, i: offset + F.aggregate(F.slice(b, F.lit(1), i + 1), F.lit(0), lambda a, x: a + x))
+    def within(b: Column, before: Column) -> Column:
+        return F.transform(b, lambda v, i: F.aggregate(F.slice(b, F.lit(1), i + 1), before, step))
 
     def in_blocks(x: Column) -> Column:
         blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / block).cast("int")), lambda k: F.slice(x, k * block + 1, F.lit(block)))
         return let(blocks, from_blocks)
 
     def from_blocks(blocks: Column) -> Column:
-        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda a, x: a + x))
-        before = F.aggregate(totals, F.array(F.lit(0)), lambda a, t: F.concat(a, F.array(F.element_at(a, -1) + t)))
+        totals = F.transform(blocks, lambda b: F.aggregate(b, start, step))
+        before = F.aggregate(totals, F.array(start), lambda a, t: F.concat(a, F.array(step(F.element_at(a, -1), t))))
         return F.flatten(F.zip_with(blocks, F.slice(before, F.lit(1), F.size(blocks)), within))
 
-    return F.when(n == 0, F.array().cast("array<int>")).when(n <= block, within(lengths, F.lit(0))).otherwise(let(lengths, in_blocks))
+    return F.when(n == 0, values).when(n <= block, within(values, start)).otherwise(let(values, in_blocks))
+
+
+def running_total(lengths: Column, block: int = 64) -> Column:
+    return running(lengths, lambda a, x: a + x, F.lit(0), block)
 
 
 SPAN = "array<struct<start:int,end:int,match:string,before:string,after:string>>"

@@ -4,8 +4,8 @@ Everything is row-local and built from SQL functions: the plan is one scan and o
 projection, so no key can be hot and nothing is shuffled.
 
 Four base kinds always stay once their check passes: email, ip (parts at most 255), card
-(16 to 19 digits passing Luhn) and phone (8 to 15 digits). The method adds iban (mod-97)
-and ssn (number ranges); an added span needs a score of ``threshold``. Scores start from
+(16 to 19 digits passing Luhn) and phone (8 to 15 digits). The method adds iban (its
+country's length and mod-97, at every start, whatever follows it) and ssn (number ranges); an added span needs a score of ``threshold``. Scores start from
 the kind, gain from a checksum and from context words of the kind within 48 characters,
 and lose from words that name something else (order numbers, versions).
 
@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import SPAN, let, regex_spans, running_total, table, whole_text
+from gridloom.llm.common import SPAN, let, regex_spans, running, running_total, table, whole_text
 
 THRESHOLD = 0.5
 BASE = ("email", "ip", "card", "phone")
@@ -39,16 +39,6 @@ class Kind:
     context: str
 
 
-# Patterns and context words.
-KINDS = (
-    Kind("email", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", 0.8, 0.0, "e-?mail|mail|contact|write|reach"),
-    Kind("ip", r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", 0.5, 0.2, "ip|host|server|address|addr|client|login"),
-    Kind("card", r"[0-9](?:[\x20-]?[0-9])++", 0.3, 0.4, "card|visa|credit|debit|mastercard|amex|pay|payment"),
-    Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 0.5, 0.0, "call|phone|tel|telephone|mobile|fax|cell|whatsapp"),
-    Kind("iban", r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9_])", 0.3, 0.5, "iban|account|bank|transfer|konto|compte|cuenta"),
-    Kind("ssn", r"(?<![A-Za-z0-9_])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9_])", 0.4, 0.1, "ssn|social security|social|taxpayer"),
-)
-AGAINST = "order|invoice|version|build|isbn|part|serial|ticket"
 # Characters of an IBAN by country, from the registry.
 IBAN_LENGTHS = {
     "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27,
@@ -60,6 +50,17 @@ IBAN_LENGTHS = {
 _BY_LENGTH = "|".join(f"(?:{'|'.join(c for c, m in IBAN_LENGTHS.items() if m == n)})[0-9]{{2}}(?:\\x20?[A-Z0-9]){{{n - 4}}}" for n in sorted(set(IBAN_LENGTHS.values())))
 # Takes one character and looks ahead to the rest, so that no rejected candidate hides another.
 WHOLE_IBAN = rf"(?<![A-Za-z0-9_])(?=({_BY_LENGTH})(?![A-Za-z0-9_]))[A-Z]"
+
+# Patterns and context words.
+KINDS = (
+    Kind("email", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", 0.8, 0.0, "e-?mail|mail|contact|write|reach"),
+    Kind("ip", r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", 0.5, 0.2, "ip|host|server|address|addr|client|login"),
+    Kind("card", r"[0-9](?:[\x20-]?[0-9])++", 0.3, 0.4, "card|visa|credit|debit|mastercard|amex|pay|payment"),
+    Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 0.5, 0.0, "call|phone|tel|telephone|mobile|fax|cell|whatsapp"),
+    Kind("iban", WHOLE_IBAN, 0.3, 0.5, "iban|account|bank|transfer|konto|compte|cuenta"),
+    Kind("ssn", r"(?<![A-Za-z0-9_])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9_])", 0.4, 0.1, "ssn|social security|social|taxpayer"),
+)
+AGAINST = "order|invoice|version|build|isbn|part|serial|ticket"
 SPANS = "array<struct<kind:string,start:int,end:int,score:double,rank:int>>"
 
 
@@ -110,9 +111,14 @@ def hint(kind: str, text: Column) -> Column | None:
     return {"email": F.contains(text, F.lit("@")), "phone": F.contains(text, F.lit("+")), "ip": F.contains(text, F.lit(".")) & text.rlike("[0-9]"), "card": text.rlike("[0-9]"), "iban": text.rlike("[A-Z]{2}[0-9]{2}"), "ssn": text.rlike("[0-9]-[0-9]")}.get(kind)
 
 
+def candidates(text: Column, kind: Kind) -> Column:
+    """What a kind's pattern proposes, with the text on both sides up to the next proposal."""
+    return whole_ibans(text) if kind.name == "iban" else regex_spans(text, kind.pattern, hint(kind.name, text))
+
+
 def spans_of(text: Column, kind: Kind, rank: int, threshold: float) -> Column:
     """The confirmed spans of one kind, in order of their starts."""
-    found = F.filter(regex_spans(text, kind.pattern, hint(kind.name, text)), lambda s: confirmed(kind.name, s["match"]))
+    found = F.filter(candidates(text, kind), lambda s: confirmed(kind.name, s["match"]))
     if kind.name == "ssn":  # not the middle of a longer number
         found = F.filter(found, lambda s: ~s["before"].endswith("-") & ~s["after"].startswith("-"))
     out = F.transform(found, lambda s: F.struct(F.lit(kind.name).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), score(kind, s).alias("score"), F.lit(rank).alias("rank")))
@@ -120,9 +126,7 @@ def spans_of(text: Column, kind: Kind, rank: int, threshold: float) -> Column:
 
 
 def whole_ibans(text: Column) -> Column:
-    """The spans of all account numbers of their country's length, whatever follows them."""
-    rank, kind = next((i, k) for i, k in enumerate(KINDS) if k.name == "iban")
-
+    """Account numbers of their country's length from every start; the pattern takes one character and looks at the rest."""
     def rows(p: Column) -> Column:
         steps = F.transform(F.slice(p["gaps"], F.lit(1), F.size(p["found"])), lambda g, i: F.length(g) + F.when(i == 0, 0).otherwise(1))
         return let(running_total(steps), lambda starts: F.transform(p["found"], lambda m, i: let(F.element_at(p["gaps"], i + 2), lambda after: F.struct(
@@ -130,8 +134,7 @@ def whole_ibans(text: Column) -> Column:
             F.right(F.element_at(p["gaps"], i + 1), F.lit(48)).alias("before"), F.left(F.substr(after, F.length(m)), F.lit(48)).alias("after")))))
 
     pair = F.struct(F.split(text, WHOLE_IBAN, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(WHOLE_IBAN), F.lit(1)).alias("found"))
-    got = F.when(hint("iban", text), let(pair, rows)).otherwise(F.array().cast(SPAN))
-    return F.transform(F.filter(got, lambda s: mod97(s["match"])), lambda s: F.struct(F.lit("iban").alias("kind"), s["start"].alias("start"), s["end"].alias("end"), score(kind, s).alias("score"), F.lit(rank).alias("rank"))).cast(SPANS)
+    return F.when(hint("iban", text), let(pair, rows)).otherwise(F.array().cast(SPAN))
 
 
 def find(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -151,28 +154,35 @@ def count_of(spans: Column, kind: str) -> Column:
 def redact(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Every span gives way to its kind in brackets; overlapping spans become one, named by the first.
 
-    A null text stays null. Other columns stay as they are. Account numbers also give way where the
-    pattern of the kind, which op2_pii shares with its SQL, runs on into the words behind them.
+    A null text stays null. Other columns stay as they are. Work grows with the spans and the text,
+    not with their product: the text is taken apart in runs of spans.
     """
-    by_start = F.array_sort(F.transform(F.col("__pii_spans"), lambda s: F.struct(s["start"], s["end"], s["kind"])))
-    none = F.array().cast("array<struct<start:int,end:int,kind:string>>")
+    text = F.col(text_col)
+    by_start = F.array_sort(F.transform(F.col("__pii_spans"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+
+    def merged(spans: Column) -> Column:
+        reach = running(F.transform(spans, lambda s: s["end"]), lambda a, x: F.greatest(a, x), F.lit(0))
+        return let(reach, lambda ends: let(
+            F.array_compact(F.transform(spans, lambda s, i: F.when((i == 0) | (s["start"] >= F.get(ends, i - 1)), i))),
+            lambda firsts: F.transform(firsts, lambda at, k: F.struct(F.get(spans, at)["start"].alias("start"), F.get(ends, F.coalesce(F.get(firsts, k + 1), F.size(spans)) - 1).alias("end"), F.get(spans, at)["kind"].alias("kind")))))
 
-    def merge(done: Column, s: Column) -> Column:
-        last = F.element_at(done, -1)
-        joins = (F.size(done) > 0) & (s["start"] < last["end"])
-        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["kind"].alias("kind"))
-        return F.when(joins, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(longer))).otherwise(F.concat(done, F.array(s)))
+    def end_of(spans: Column, i: Column) -> Column:
+        return F.when(i < 0, 0).otherwise(F.get(spans, i)["end"])
 
     def rebuilt(spans: Column) -> Column:
-        text = F.col(text_col)
-        parts = F.transform(spans, lambda s, i: let(F.when(i == 0, 0).otherwise(F.try_element_at(spans, i)["end"]), lambda at: F.concat(F.substr(text, at + 1, s["start"] - at), F.lit("["), F.upper(s["kind"]), F.lit("]"))))
-        return F.concat(F.array_join(parts, ""), F.substr(text, F.element_at(spans, -1)["end"] + 1))
+        width = F.greatest(F.lit(64), F.sqrt(F.size(spans)).cast("int"))
+        firsts = F.sequence(F.lit(0), F.size(spans) - 1, width)
+
+        def run(first: Column) -> Column:
+            own, at = F.slice(spans, first + 1, width), end_of(spans, first - 1)
+            return let(F.struct(own.alias("own"), at.alias("at"), F.substr(text, at + 1, F.element_at(own, -1)["end"] - at).alias("text")), lambda r: F.array_join(
+                F.transform(r["own"], lambda s, i: let(F.when(i == 0, r["at"]).otherwise(end_of(r["own"], i - 1)), lambda before: F.concat(
+                    F.substr(r["text"], before - r["at"] + 1, s["start"] - before), F.lit("["), F.upper(s["kind"]), F.lit("]")))), ""))
 
-    merged = F.aggregate(by_start, none, merge)
-    clean = F.when(F.size("__pii_spans") == 0, F.col(text_col)).otherwise(let(merged, rebuilt))
-    more = F.filter(whole_ibans(whole_text(F.col(text_col))), lambda s: s["score"] >= threshold)
-    found = find(docs, text_col, threshold).withColumn("__pii_spans", F.concat("__pii_spans", more))
-    return found.withColumn(text_col, clean).select(*docs.columns)
+        return F.concat(F.array_join(F.transform(firsts, run), ""), F.substr(text, F.element_at(spans, -1)["end"] + 1))
+
+    clean = F.when(F.size("__pii_spans") == 0, text).otherwise(let(by_start, lambda spans: let(merged(spans), rebuilt)))
+    return find(docs, text_col, threshold).withColumn(text_col, clean).select(*docs.columns)
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,7 +201,7 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The same in SQL, with the plain patterns: for ASCII words a word boundary is what the look-arounds say.
 _PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "card": r"[0-9](?:[\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}\b", "ssn": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
+    "iban": r"\b[A-Z]{2}[0-9]{2}", "ssn": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
 }
 _DIGITS = "regexp_replace(x, '[^0-9]', '', 'g')"
 _CHECKS = {
@@ -211,12 +221,21 @@ def sql_spans(name: str, pattern: str, source: str) -> str:
         FROM (SELECT rn, g, m, unnest(range(1, len(m) + 1)) AS i FROM (SELECT rn, string_split_regex(t, '{pattern}') AS g, regexp_extract_all(t, '{pattern}') AS m FROM {source})))"""
 
 
+def sql_ibans(pattern: str, source: str) -> str:
+    """The same for account numbers: from every start of the pattern, what has its country's length; sides reach to the next such start."""
+    wide = max(IBAN_LENGTHS.values()) * 2
+    return f"""SELECT rn, start, start + length(x) AS stop, x, right(substr(t, before_at + 1, start - before_at), 48) AS before, left(substr(t, start + length(x) + 1, greatest(after_at - start - length(x), 0)), 48) AS after
+        FROM (SELECT *, coalesce(lag(start) OVER w + 1, 0) AS before_at, coalesce(lead(start) OVER w, length(t)) AS after_at
+        FROM (SELECT rn, start, t, regexp_extract(substr(t, start + 1, {wide}), '^(?:{_BY_LENGTH})\\b') AS x FROM ({sql_spans("iban", pattern, source)}) JOIN {source} USING (rn)) WHERE x <> '' WINDOW w AS (PARTITION BY rn ORDER BY start))"""
+
+
 def _oracle() -> str:
     parts = []
     for rank, k in enumerate(KINDS):
         near = "lower(concat_ws(' ', before, after))"
         points = f"round(least(1.0::DOUBLE, greatest(0.0::DOUBLE, {k.prior + k.checksum!r}::DOUBLE + CASE WHEN regexp_matches({near}, '{whole_word(k.context)}') THEN 0.2::DOUBLE ELSE 0 END - CASE WHEN regexp_matches({near}, '{whole_word(AGAINST)}') THEN 0.15::DOUBLE ELSE 0 END)), 3)"
-        rows = f"SELECT rn, {rank} AS rank, '{k.name}' AS kind, start, stop, {points} AS score FROM ({sql_spans(k.name, _PLAIN[k.name], 'd')}) WHERE {_CHECKS[k.name]}"
+        proposed = sql_ibans(_PLAIN["iban"], "d") if k.name == "iban" else sql_spans(k.name, _PLAIN[k.name], "d")
+        rows = f"SELECT rn, {rank} AS rank, '{k.name}' AS kind, start, stop, {points} AS score FROM ({proposed}) WHERE {_CHECKS[k.name]}"
         parts.append(rows if k.name in BASE else f"SELECT * FROM ({rows}) WHERE score >= {THRESHOLD}")
     spell = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY rank, start)"
     counts = ", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in BASE)
