@@ -25,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_pii": pii.ORACLE, "op4_warc": warc.ORACLE, "op6_secrets": secrets.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE}
+    return {"op2_pii": pii.ORACLE, "op4_warc": warc.ORACLE, "op6_secrets": secrets.ORACLE, "op7_url_filter": url_filter.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE}

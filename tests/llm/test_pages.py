@@ -51,6 +51,44 @@ def test_url_cases(spark):
         uf.apply_rules(empty, [uf.RULES[0]] * 10_001)
 
 
+def test_ten_thousand_rules_and_deep_paths(spark):
+    rules = [uf.Rule("block" if i % 2 else "allow", f"h{i}.com", f"/p{i % 7}") for i in range(9_999)] + [uf.Rule("allow", "com", "/")]
+    df = spark.createDataFrame([(i, f"https://www.h{i}.com/p{i % 7 if i % 3 else 9}/x") for i in range(0, 9_999, 13)] + [(-1, "https://" + "a." * 3000 + "h1.com/p1")], "page_id long, url string")
+    for r in uf.judge(df, rules=rules).collect():
+        i = r.page_id if r.page_id >= 0 else 1
+        fits = r.page_id < 0 or i % 3
+        assert r["__uf_rule"] == (f"h{i}.com/p{i % 7}" if fits else "com/") and r["__uf_verdict"] == ("block" if fits and i % 2 else "allow")
+    deep = [(i, f"http://deep.net/a/b/c/{'good' if i % 2 else 'bad'}/p{'' if i < 400 else '/q' * 60}/{i}") for i in range(800)]
+    rules = [uf.Rule("block", "deep.net", "/a/b/c/bad"), uf.Rule("allow", "deep.net", "/a/b/c/good/p/1"), uf.Rule("allow", "deep.net", "/a/b/c/good/p/3")]
+    out = {r["__uf_template"]: (r["__uf_purity"], r["__uf_verdict"]) for r in uf.judge(spark.createDataFrame(deep, "page_id long, url string"), rules=rules).collect()}
+    assert len(out) == 4 and all((v[1] == "block") == ("/bad/" in t) and abs(v[0] - ("/bad/" in t)) < 0.1 for t, v in out.items()), out
+
+
+def test_like_siblings_share_their_counts(spark):
+    own = [("h", "/" + n, "/", b, 10, 1) for n, b in (("a", 0), ("b", 1), ("c", 0), ("d", 9), ("e", 10))] + [("h", "/f", "/", 0, 0, 1), ("i", "/a", "/", 10, 10, 1)]
+    rows = uf.alike(spark.createDataFrame(own, "__uf_host string, __uf_node string, __uf_parent string, __uf_blocked long, __uf_labelled long, __uf_uses long")).collect()
+    got = {(r["__uf_host"], r["__uf_node"]): (r["__uf_b"], r["__uf_l"]) for r in rows}
+    assert got == {("h", "/a"): (1, 30), ("h", "/b"): (1, 30), ("h", "/c"): (1, 30), ("h", "/d"): (19, 20), ("h", "/e"): (19, 20), ("h", "/f"): (0, 0), ("i", "/a"): (10, 10)}
+
+
+def test_sql_says_the_same_of_hard_urls(spark, tmp_path):
+    import duckdb
+    import random
+
+    rng = random.Random(5)
+    words = ["de", "fr", "es", "en", "shop", "item", *(f"{a}{b}" for a in "abcdefgh" for b in "xyz")]
+    urls = [*URLS, "http://x.org/" + "/".join("t" * k for k in range(1, 40)), "http://x.com/{*}/{n}/a", "http://y.com/0123456789ab/12.html/12\n"]
+    urls += [f"http://{rng.choice(['www.', '', 'm.'])}{rng.choice('pqr')}.{rng.choice(['com', 'example.org', 'net'])}/" + "/".join(rng.choice([rng.choice(words), rng.choice(words[:4]), str(rng.randrange(999))]) for _ in range(rng.randrange(7))) for _ in range(3000)]
+    rows = [(i, u) for i, u in enumerate(urls)]
+    spark.createDataFrame(rows, "page_id long, url string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    got = uf.op7_url_filter(spark, str(tmp_path)).toPandas()
+    want = con.execute(uf.ORACLE).df()[list(got.columns)]
+    plain = lambda d: sorted(tuple("-" if v is None or v != v else str(v) for v in r) for r in d.astype(object).itertuples(index=False))
+    assert plain(got) == plain(want) and got.template.str.contains("{*}", regex=False).any() and got.purity.nunique() > 20
+
+
 def pages(spark):
     big = "<p>" + "x" * 200 + "é</p>"
     rows = [(5, "http://a.b.com/1", big), (3, "http://a.b.com/2?q=1", big), (9, None, big), (1, "http://z.org/", "small"), (2, "http://z.org/", "small"), (None, "http://n.org/\r\nX: y", "y" * 150), (7, "http://n.org/é", "y" * 150), (8, "", None), (3, "http://a.b.com/2?q=1", big)]
