@@ -3,7 +3,9 @@
 Writing: every task writes one archive of separately compressed records to the shared
 folder and returns a capture row for each. Of records with equal payloads of at least
 ``LEAST`` bytes the one with the smallest id is the response; others are revisits that
-name it and store no payload.
+name it by the standard headers (WARC-Refers-To, its target and date) and store no payload.
+A record's id is a version 8 UUID whose first 64 free bits are the page's id, so a revisit's
+WARC-Refers-To tells the page it refers to; the others hash url, digest and repetition.
 
 Index: captures are sorted by reversed-host key (``com,example,www)/path``) and id, by
 ranges over all tasks. Each range becomes one shard file of compressed blocks of ``BLOCK``
@@ -14,8 +16,12 @@ Reading: a lookup finds its shard and its block by binary search, reads and open
 block alone, finds its line by binary search, and reads the record's byte range. Lookups
 come sorted, so a task opens each block and directory once.
 
-Skew: equal payloads meet over (digest, salt) groups as in exact deduplication; a host
-with a third of all pages is spread by id within its range.
+Skew: equal payloads combine on the map side and over salts; the way back to the pages is
+dealt over as many salts as a payload's share of the pages asks for; a host with a third of
+all pages is spread by id within its range.
+
+Stores: archives and index go to any store that Arrow opens under Spark's names of it (file,
+hdfs, s3a, gs, abfss, dbfs by its mount); others are refused before anything runs.
 
 Recovery: a file's name is its attempt's own and rows that name it count only when the task
 succeeded, so a lost executor leaves at most unused files. Captures are a written table.
@@ -40,7 +46,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import materialise, scratch_path, table, whole_text
+from gridloom.llm.common import discard, give_back, materialise, scratch_path, table, whole_text
+from gridloom.sources.files import arrow_uri, file_system
 
 LEAST, BLOCK, SALTS, DATE = 100, 512, 32, "2024-01-01T00:00:00Z"
 NO_ID = -(1 << 63)
@@ -63,35 +70,56 @@ def surt(url: Column) -> Column:
 def planned(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
     """Every page with its digest and whether its record is a response or a revisit."""
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), whole_text(F.col(html_col)).alias("html"))
-    rows = rows.withColumn("digest", F.unhex(F.sha2("html", 256))).withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int")).withColumn("bytes", F.octet_length("html").cast("long"))
-    firsts = (
-        rows.filter(F.col("bytes") >= LEAST).groupBy("digest", "salt").agg(F.min("page_id").alias("first"))
-        .groupBy("digest").agg(F.min("first").alias("first"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("mask"))
-        .select("digest", "first", F.explode(F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda s: F.getbit(F.col("mask"), s) == 1)).alias("salt"), F.lit(True).alias("shared"))
-    )
-    same = Window.partitionBy("digest", "salt", "page_id").orderBy(F.coalesce("url", F.lit("")))
-    rows = rows.join(firsts, ["digest", "salt"], "left").withColumn("nth", F.row_number().over(same))
-    own = F.col("shared").isNull() | (F.col("page_id").eqNullSafe(F.col("first")) & (F.col("nth") == 1))
-    return rows.select("page_id", "url", surt(F.col("url")).alias("surt"), "bytes", F.lower(F.hex("digest")).alias("digest"), own.alias("response"), F.when(~own, F.col("first")).alias("refers_to"), F.when(own, F.col("html")).alias("html"))
+    rows = rows.withColumn("digest", F.unhex(F.sha2("html", 256))).withColumn("bytes", F.octet_length("html").cast("long"))
+    first = F.struct(F.col("page_id").isNull().alias("none"), "page_id", F.coalesce("url", F.lit("")).alias("order"), "url")
+    firsts = materialise(
+        rows.groupBy("digest", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).alias("salt")).agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("n"))
+        .groupBy("digest").agg(F.min("first").alias("first"), F.sum("n").alias("n")), "payloads")
+    rows = give_back(rows, firsts, ["digest"], "n", "page_id", "inner")
+    same = Window.partitionBy("digest", "__gb_salt", "page_id").orderBy(F.coalesce("url", F.lit("")), "url")
+    rows = rows.withColumn("nth", F.row_number().over(same))
+    own = (F.col("bytes") < LEAST) | (F.col("page_id").eqNullSafe(F.col("first.page_id")) & (F.col("nth") == 1))
+    return rows.select(
+        "page_id", "url", surt(F.col("url")).alias("surt"), "bytes", F.lower(F.hex("digest")).alias("digest"), "nth", own.alias("response"),
+        F.when(~own, F.col("first.page_id")).alias("refers_to"), F.when(~own, F.col("first.url")).alias("refers_url"), F.when(own, F.col("html")).alias("html"))
 
 
 # Records
 
 
-def record(page_id: int | None, url: str | None, digest: str, size: int, refers_to: int | None, payload: bytes | None) -> bytes:
-    """One compressed record. A revisit keeps the response's header block, so the payload's size stays known."""
+def record_id(page_id: int | None, url: str | None, digest: str, nth: int) -> str:
+    """A version 8 UUID: the page's id in 64 bits, and 58 bits of a hash."""
+    rest = int.from_bytes(hashlib.sha256(f"{url}|{digest}|{nth}".encode()).digest()[:8]) >> 6
+    bits = ((NO_ID if page_id is None else page_id) % (1 << 64)) << 58 | rest
+    return f"<urn:uuid:{uuid.UUID(int=(bits >> 74) << 80 | 8 << 76 | (bits >> 62 & 0xFFF) << 64 | 2 << 62 | bits & (1 << 62) - 1)}>"
+
+
+def page_of(record_id: str) -> int | None:
+    """The page's id in a record's id."""
+    n = uuid.UUID(record_id.removeprefix("<urn:uuid:").removesuffix(">")).int
+    bits = (n >> 80) << 74 | (n >> 64 & 0xFFF) << 62 | n & (1 << 62) - 1
+    page = bits >> 58
+    page -= page >> 63 << 64
+    return None if page == NO_ID else page
+
+
+def target(url: str) -> str:
+    """A url as one line of a header."""
+    return json.dumps(url)[1:-1]
+
+
+def record(page_id: int | None, url: str | None, digest: str, size: int, refers: tuple[int | None, str | None] | None, payload: bytes | None, nth: int = 1) -> bytes:
+    """One compressed record. A revisit keeps the response's header block, so the payload's size stays known; refers is its response's page and url."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http + (payload or b"")
-    head = ["WARC/1.1", f"WARC-Type: {'response' if payload is not None else 'revisit'}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}|{url}|{digest}')}>", f"WARC-Date: {DATE}"]
+    head = ["WARC/1.1", f"WARC-Type: {'response' if payload is not None else 'revisit'}", f"WARC-Record-ID: {record_id(page_id, url, digest, nth)}", f"WARC-Date: {DATE}"]
     if url is not None:
-        head.append("WARC-Target-URI: " + json.dumps(url)[1:-1])
-    if page_id is not None:
-        head.append(f"X-Page-ID: {page_id}")
+        head.append("WARC-Target-URI: " + target(url))
     head += [f"WARC-Payload-Digest: sha256:{digest}", "Content-Type: application/http;msgtype=response"]
     if payload is None:
-        head.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
-        if refers_to is not None:
-            head.append(f"X-Refers-To-Page: {refers_to}")
+        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {record_id(*refers, digest, 1)}", f"WARC-Refers-To-Date: {DATE}"]
+        if refers[1] is not None:
+            head.append("WARC-Refers-To-Target-URI: " + target(refers[1]))
     head.append(f"Content-Length: {len(block)}")
     packer = zlib.compressobj(6, zlib.DEFLATED, 31)
     return packer.compress("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n") + packer.flush()
@@ -112,22 +140,15 @@ def parse(blob: bytes) -> tuple:
     _, http, payload = headers(block)
     digest, size = head["WARC-Payload-Digest"].removeprefix("sha256:"), int(http["Content-Length"])
     if head["WARC-Type"] == "response" and (hashlib.sha256(payload).hexdigest() != digest or len(payload) != size):
-        raise ValueError(f"payload of page {head.get('X-Page-ID')} is damaged")
-    number = lambda k: int(head[k]) if k in head else None
+        raise ValueError(f"payload of record {head['WARC-Record-ID']} is damaged")
     url = head.get("WARC-Target-URI")
-    return number("X-Page-ID"), None if url is None else json.loads(f'"{url}"'), size, digest, head["WARC-Type"], number("X-Refers-To-Page")
+    refers = head.get("WARC-Refers-To")
+    return page_of(head["WARC-Record-ID"]), None if url is None else json.loads(f'"{url}"'), size, digest, head["WARC-Type"], None if refers is None else page_of(refers)
 
 
 # Files
 
 
-@lru_cache(4)
-def file_system(folder: str) -> tuple:
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(folder)
-
-
 def create(folder: str, kind: str):
     """A new file that only this attempt of this task has, and its name."""
     system, root = file_system(folder)
@@ -158,8 +179,8 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
                 if out is None:
                     name, out = create(folder, "archive")
                 page = None if pd.isna(r.page_id) else int(r.page_id)
-                refers = None if pd.isna(r.refers_to) else int(r.refers_to)
-                blob = record(page, r.url, r.digest, int(r.bytes), refers, r.html.encode() if r.response else None)
+                refers = (None if pd.isna(r.refers_to) else int(r.refers_to), r.refers_url)
+                blob = record(page, r.url, r.digest, int(r.bytes), refers, r.html.encode() if r.response else None, int(r.nth))
                 out.write(blob)
                 rows.append((r.surt, NO_ID if page is None else page, name, at, len(blob)))
                 at += len(blob)
@@ -168,6 +189,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
         if out is not None:
             out.close()
 
+    arrow_uri(folder)  # a store that the tasks can't write to is refused here
     rows = planned(pages, id_col, url_col, html_col)
     # Ids go as decimals' text would: a nullable long must not pass through a double.
     typed = rows.withColumn("page_id", F.col("page_id").cast("string")).withColumn("refers_to", F.col("refers_to").cast("string"))
@@ -255,6 +277,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, folder = table(spark, sf_dir, "pages"), scratch_path(spark, "warc")
     captures = write_archives(pages.select("page_id", "url", "html"), folder)
     shards = write_index(captures, folder)
+    discard(captures)
     keys = pages.select(surt(F.col("url")).alias("surt"), F.coalesce(F.col("page_id").cast("long"), F.lit(NO_ID)).alias("page_id")).distinct()
     return lookup(keys, folder, shards).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 

@@ -125,6 +125,42 @@ def test_lookups_find_single_keys_and_nothing_else(spark):
     assert warc.find(folder, shards, ("com,b,a)/1", 6)) == [] and warc.find(folder, shards, ("", -(1 << 63))) == [] and warc.find(folder, [], ("x", 1)) == []
 
 
+def test_a_plain_reader_follows_revisits(spark):
+    import gzip
+    import os
+
+    rows, df = pages(spark)
+    folder = scratch_path(spark, "warc")
+    captures = warc.write_archives(df, folder).collect()
+    records = {}
+    for name in {c.file for c in captures}:
+        with open(os.path.join(folder.removeprefix("file://"), name), "rb") as f:
+            data = gzip.decompress(f.read())  # the members one after the other
+        while data:
+            head, data = data.split(b"\r\n\r\n", 1)
+            version, *lines = head.decode().split("\r\n")
+            fields = dict(x.split(": ", 1) for x in lines)
+            n = int(fields["Content-Length"])
+            assert version == "WARC/1.1" and data[n : n + 4] == b"\r\n\r\n" and fields["WARC-Record-ID"] not in records
+            records[fields["WARC-Record-ID"]] = (fields, data[:n])
+            data = data[n + 4 :]
+    assert len(records) == len(rows)
+    revisits = [f for f, _ in records.values() if f["WARC-Type"] == "revisit"]
+    assert len(revisits) > 100
+    for f in revisits:
+        first, _ = records[f["WARC-Refers-To"]]
+        assert first["WARC-Type"] == "response" and first["WARC-Payload-Digest"] == f["WARC-Payload-Digest"]
+        assert f.get("WARC-Refers-To-Target-URI") == first.get("WARC-Target-URI") and f["WARC-Refers-To-Date"] == first["WARC-Date"] and "X-" not in "".join(f)
+    for page in (None, 0, 7, -5, (1 << 63) - 1):
+        assert warc.page_of(warc.record_id(page, "u", "d", 2)) == page
+
+
+def test_stores_that_tasks_cannot_write_to_are_refused(spark):
+    _, df = pages(spark)
+    with pytest.raises(ValueError, match="viewfs"):
+        warc.write_archives(df, "viewfs://store/x")
+
+
 def test_damage_is_noticed_and_empty_tables_work(spark):
     import zlib
 
