@@ -50,17 +50,57 @@ def test_cases(spark, docs, empty):
     assert tx.scored(empty, model).count() == 0
 
 
-def test_sample_is_bounded(spark):
-    docs = spark.range(500).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), F.col("id")).alias("text"))
-    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
-    seen = []
-    original = tx.train
-    try:
-        tx.train = lambda texts, y: seen.append(len(texts)) or original(texts, y, steps=1)
-        tx.fit(docs, labels, most=50)
-    finally:
-        tx.train = original
-    assert seen == [50]
+def test_samples_are_bounded_and_unlabelled_texts_are_read(spark):
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), F.col("id")).alias("text"))
+    docs = docs.unionByName(spark.range(20_000).select(F.lit(8).cast("long").alias("doc_id"), F.concat(F.lit("same id "), F.col("id")).alias("text")))
+    labels = spark.createDataFrame([(i, i % 2) for i in (*range(400), *[8] * 30)], "doc_id long, toxic int").unionByName(spark.range(20_000).select(F.lit(9).cast("long").alias("doc_id"), F.lit(1).alias("toxic")))
+    rows = tx.learnt_from(docs, labels, 50, 100).collect()
+    assert sum(r.p for r in rows) <= 50 and 90 <= sum(r.u for r in rows) <= 100 and len(rows) == len({r.doc_id for r in rows}) <= 150
+    assert all(r.doc_id % 2 == 1 and r.doc_id < 400 for r in rows if r.p) and sum(r.p for r in rows) >= 30
+    assert sum(r.u and r.doc_id >= 400 for r in rows) > 70  # without a label
+    assert not any(zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in rows)
+    zeros = labels.withColumn("toxic", F.when(F.col("toxic") == 0, None).otherwise(F.col("toxic")))
+    assert tx.fit(docs, labels, 50, 100).weights == tx.fit(docs, zeros, 50, 100).weights  # labels of 0 are never read
+
+
+def test_risk_and_gradient_equal_plain_loops():
+    rng = np.random.default_rng(1)
+    z, in_p = rng.normal(0, 2, 30), np.arange(30) < 9
+    for prior in (0.1, 0.4):
+        sp, su = prior * in_p / 9, ~in_p / 21
+        plus, minus, gp, gn = tx.risk(z, sp, su)
+        loss = lambda v, y: float(np.log(1 + np.exp(-y * v)))
+        parts = lambda q: (prior * sum(loss(v, 1) for v in q[:9]) / 9, sum(loss(v, -1) for v in q[9:]) / 21 - prior * sum(loss(v, -1) for v in q[:9]) / 9)
+        assert (plus, minus) == pytest.approx(parts(z))
+        for i in range(30):
+            up, down = z.copy(), z.copy()
+            up[i] += 1e-5
+            down[i] -= 1e-5
+            slopes = [(a - b) / 2e-5 for a, b in zip(parts(up), parts(down), strict=True)]
+            assert (gp[i], gn[i]) == pytest.approx(slopes, abs=1e-6)
+
+
+def test_matrix_products_equal_plain_loops():
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{rng.integers(30)}" for _ in range(rng.integers(0, 40))) for _ in range(50)]
+    vectors = [tx.vector(t) for t in texts]
+    x = tx.Matrix(vectors)
+    w, g = rng.normal(size=len(x.names)), rng.normal(size=50)
+    place = {int(n): i for i, n in enumerate(x.names)}
+    dense = np.zeros((50, len(place)))
+    for i, (names, values) in enumerate(vectors):
+        for n, v in zip(names, values, strict=True):
+            if int(n) in place:
+                dense[i, place[int(n)]] = v
+    assert (dense > 0).sum(axis=0).min() >= tx.LEAST_DOCS
+    assert x.times(w) == pytest.approx(dense @ w, abs=1e-5) and x.turned_times(g) == pytest.approx(dense.T @ g, abs=1e-5)
+
+
+def test_the_prior_comes_from_scores_of_both_samples():
+    rng = np.random.default_rng(4)
+    for share in (0.05, 0.2, 0.4):
+        p, u = rng.normal(3, 1, 800), np.where(rng.random(5000) < share, rng.normal(3, 1, 5000), rng.normal(-1, 1, 5000))
+        assert tx.best_bin(p, u) == pytest.approx(share, abs=0.04)
 
 
 @pytest.mark.parametrize("texts", [[], ["only"]])
