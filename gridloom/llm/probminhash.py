@@ -15,13 +15,19 @@ similarity of their shingle sets is at least ``SIMILARITY``; classes are the con
    copies end here with one test a member.
 3. Buckets that hold several classes are searched whole. Of two nodes the pair is tested,
    unless it was. In larger ones members of different classes whose sketches agree in
-   ``SKETCH_LEAST`` of the registers are verified by their sets, until they join; a pair at
-   0.8 falls short of that with probability 6e-18 at most. Large
-   buckets are searched block against block, so memory is bounded and no pair is left out.
+   ``SKETCH_LEAST`` of the registers are verified by their sets, until they join; registers agree
+   independently with probability s, so a pair at 0.8 falls short of that with probability 6e-18
+   at most. Large buckets are searched block against block, at most ``BLOCK`` nodes of each side
+   in one task, so memory is bounded and no pair is left out.
 4. Links of both steps give the classes, by alternating large and small stars.
 
-Skew: copies combine on the map side; bucket leaders go back to the members over salted keys;
-nothing is collected. Every step that another reads twice is a table in the shared folder.
+The result tells the classes, not all links inside them: a class of n texts has up to n * n / 2.
+``links`` counts the links of a text that were confirmed on the way, at least one for each text
+of a class of several; ``links_of`` returns them.
+
+Skew: copies combine on the map side; leaders, sets and classes go back to their rows over salts
+that follow the groups' sizes; nothing is collected. Every step that another reads twice is a
+table in the shared folder, deleted after its last reader.
 
 Defined cases: null texts count as empty; texts without words are alike only where they are
 identical; of a class the smallest id stays, null ids after all others, and of rows that
@@ -38,13 +44,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import materialise, table
+from gridloom.llm.common import discard, give_back, materialise, table
 from gridloom.operators.graph import parts
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
-SKETCH_LEAST, BLOCK, SALTS, AT_ONCE = 0.4, 2048, 32, 1 << 21
+SKETCH_LEAST, BLOCK, SALTS, COPIES, AT_ONCE = 0.4, 256, 32, 2_000, 1 << 21
 U = np.uint64
 ODD, GOLDEN = U(0x9E3779B97F4A7C15 | 1), U(0x9E3779B97F4A7C15)
 
@@ -180,11 +186,6 @@ def similarity(a: bytes, b: bytes) -> float:
     return both / (len(x) + len(y) - both)
 
 
-def _masked(rows: DataFrame, key: str, salts: int) -> DataFrame:
-    """One row for each salt in use of each key: the way back to hot keys' rows."""
-    return rows.withColumn("salt", F.explode(F.filter(F.sequence(F.lit(0), F.lit(salts - 1)), lambda s: F.getbit(F.col("mask"), s) == 1))).drop("mask")
-
-
 def _salt(column: str) -> F.Column:
     return F.pmod(F.xxhash64(column), F.lit(SALTS)).cast("int")
 
@@ -200,8 +201,10 @@ def first_pairs(members: DataFrame) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are alike enough."""
-    ends = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
+    """The pairs (a, b) whose sets are alike enough. Of a set that many pairs have as their b, at most COPIES copies in all are dealt to them."""
+    leads = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")).join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
+    ends = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
+    ends = give_back(ends, materialise(leads, "leads"), ["b"], "n", "a", "inner", COPIES)
 
     @F.pandas_udf("double")
     def alike(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -236,15 +239,15 @@ def further_links(members: DataFrame, classes: DataFrame, sets: DataFrame, teste
     A bucket of two nodes is one pair, and most of these were tested; the rest are confirmed by joins, once each.
     In larger buckets the largest class's blocks are searched against the others', and these among themselves.
     """
-    named = members.join(classes, "node", "left").select("key", "node", _salt("node").alias("salt"), F.coalesce("class", "node").alias("class"))
-    by_class = named.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("mask"))
-    mixed = by_class.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("all"), F.max(F.struct("n", "class")).alias("top"), F.bit_or("mask").alias("mask")).filter("classes > 1")
+    named = members.join(classes, "node", "left").select("key", "node", F.coalesce("class", "node").alias("class"))
+    by_class = named.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"))
+    mixed = by_class.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("all"), F.max(F.struct("n", "class")).alias("top")).filter("classes > 1")
     mixed = materialise(mixed, "mixed")
     two = named.join(mixed.filter(F.col("all") == 2).select("key"), "key", "left_semi").groupBy("key").agg(F.max("node").alias("a"), F.min("node").alias("b")).select("a", "b").distinct()
-    plain = confirmed(two.join(tested, ["a", "b"], "left_anti"), sets)
-    mixed = mixed.filter(F.col("all") > 2)
+    plain = confirmed(materialise(two.join(tested, ["a", "b"], "left_anti"), "pairs"), sets)
     n_top, n_rest = F.ceil(F.col("top.n") / BLOCK).cast("int"), F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int")
-    rows = named.join(_masked(mixed.select("key", "mask", F.col("top.class").alias("top_class"), n_top.alias("nt"), n_rest.alias("nr")), "key", SALTS), ["key", "salt"])
+    larger = mixed.filter(F.col("all") > 2).select("key", "all", F.col("top.class").alias("top_class"), n_top.alias("nt"), n_rest.alias("nr"))
+    rows = give_back(named, larger, ["key"], "all", "node", "inner").drop("__gb_salt", "all")
     is_top, h = F.col("class") == F.col("top_class"), F.xxhash64("node")
     own_top, own_rest = F.pmod(h, F.col("nt")).cast("int"), F.pmod(h, F.col("nr")).cast("int")
 
@@ -261,20 +264,16 @@ def further_links(members: DataFrame, classes: DataFrame, sets: DataFrame, teste
     return plain.unionByName(found)
 
 
-def classes_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row (doc_id, th, class_id, class_size, kept) for each document; th is a hash of its text."""
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
-    # A nullable long must not pass through a double.
-    texts = plain.withColumn("doc_id", F.col("doc_id").cast("string"))
-    rows = materialise(texts.mapInPandas(signed, "doc_id string, th long, node binary, bands array<long>").withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("salt", _salt("doc_id")), "signed")
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("th").alias("th"))
-    nodes = rows.groupBy("node").agg(F.min(rank).alias("least"), F.count(F.lit(1)).alias("n"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("mask"))
-    nodes = materialise(nodes, "nodes")
-
+def links_of(plain: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Confirmed pairs (a, b) of nodes, each once, that connect all that is alike. plain: id, text, th; rows: signed; nodes: with their least row."""
     # Buckets with several nodes, their leaders, and who belongs to them.
-    seats = rows.select("node", F.explode("bands").alias("key")).withColumn("salt", _salt("node"))
-    leaders = seats.groupBy("key", "salt").agg(F.min("node").alias("lead"), F.max("node").alias("last")).groupBy("key").agg(F.min("lead").alias("lead"), F.max("last").alias("last"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("mask")).filter("lead != last").drop("last")
-    members = materialise(seats.join(_masked(leaders, "key", SALTS), ["key", "salt"]).select("key", "node", "lead").distinct(), "members")
+    seats = rows.select("node", F.explode("bands").alias("key"))
+    leaders = (
+        seats.groupBy("key", _salt("node").alias("salt")).agg(F.min("node").alias("lead"), F.max("node").alias("last"), F.count(F.lit(1)).alias("n"))
+        .groupBy("key").agg(F.min("lead").alias("lead"), F.max("last").alias("last"), F.sum("n").alias("n")).filter("lead != last").drop("last")
+    )
+    leaders = materialise(leaders, "leaders")
+    members = materialise(give_back(seats, leaders, ["key"], "n", "node", "inner").select("key", "node", "lead").distinct(), "members")
 
     # Sets of the nodes in such buckets, from one text each.
     wanted = members.select("node").distinct().join(nodes, "node").select("node", F.col("least.doc_id").alias("want_id"), F.col("least.th").alias("want_th"))
@@ -283,16 +282,32 @@ def classes_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     pairs = materialise(first_pairs(members), "pairs")
     links = materialise(confirmed(pairs, sets), "links")
-    more = materialise(further_links(members, materialise(components(links), "classes"), sets, pairs), "links")
-    classes = components(links.unionByName(more))
+    found = materialise(components(links), "classes")
+    out = materialise(links.unionByName(further_links(members, found, sets, pairs)).distinct(), "links")
+    discard(leaders, members, sets, pairs, links, found)
+    return out
+
+
+def classes_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A row (doc_id, th, class_id, class_size, class_texts, links, kept) for each document; th is a hash of its text."""
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
+    # A nullable long must not pass through a double.
+    texts = plain.withColumn("doc_id", F.col("doc_id").cast("string"))
+    rows = materialise(texts.mapInPandas(signed, "doc_id string, th long, node binary, bands array<long>").withColumn("doc_id", F.col("doc_id").cast("long")), "signed")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("th").alias("th"))
+    nodes = materialise(rows.groupBy("node").agg(F.min(rank).alias("least"), F.count(F.lit(1)).alias("n")), "nodes")
+    links = links_of(plain, rows, nodes)
+    classes = components(links)
+    counts = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
 
-    joined = nodes.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
-    whole = joined.groupBy("class").agg(F.min("least").alias("rep"), F.sum("n").alias("class_size"))
-    back = _masked(joined.select("node", "class", "mask").join(whole, "class").select("node", "mask", "rep", "class_size"), "node", SALTS)
-    same = Window.partitionBy("node", "salt", "doc_id", "th").orderBy("node")
-    out = rows.drop("bands").join(back, ["node", "salt"]).withColumn("nth", F.row_number().over(same))
-    kept = F.col("doc_id").eqNullSafe(F.col("rep.doc_id")) & (F.col("th") == F.col("rep.th")) & (F.col("nth") == 1)
-    return out.select("doc_id", "th", F.col("rep.doc_id").alias("class_id"), "class_size", kept.alias("kept"))
+    joined = materialise(nodes.join(classes, "node", "left").join(counts, "node", "left").withColumn("class", F.coalesce("class", "node")), "joined")
+    whole = materialise(joined.groupBy("class").agg(F.min("least").alias("rep"), F.sum("n").alias("class_size"), F.count(F.lit(1)).alias("class_texts")), "classes")
+    back = give_back(joined.select("node", "class", "n", "links"), whole, ["class"], "class_texts", "node", "inner").drop("__gb_salt", "class")
+    out = give_back(rows.drop("bands"), materialise(back, "back"), ["node"], "n", "doc_id", "inner")
+    discard(nodes, joined, whole)
+    same = Window.partitionBy("node", "__gb_salt", "doc_id", "th").orderBy(F.lit(0))
+    kept = F.col("doc_id").eqNullSafe(F.col("rep.doc_id")) & (F.col("th") == F.col("rep.th")) & (F.row_number().over(same) == 1)
+    return out.select("doc_id", "th", F.col("rep.doc_id").alias("class_id"), "class_size", "class_texts", F.coalesce("links", F.lit(0)).alias("links"), kept.alias("kept"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -306,4 +321,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classes_of(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
+    return classes_of(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "class_texts", "links", "kept")

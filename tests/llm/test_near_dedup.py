@@ -112,6 +112,36 @@ def test_a_passage_repeated_in_one_copy_hides_no_pair(spark):
     assert {r.doc_id: r.class_id for r in pm.classes_of(df).collect()} == want
 
 
+def test_every_pair_of_the_query_rows_is_in_one_class(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").collect()]
+    got = {r.doc_id: r for r in pm.classes_of(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()}
+    by_shingle, sets = defaultdict(list), {i: plain_set(t) for i, t in rows}
+    for i, x in sets.items():
+        for g in x:
+            by_shingle[g].append(i)
+    pairs = missed = 0
+    for q in (i for i in sets if i % 100 == 0):
+        for j in {j for g in sets[q] for j in by_shingle[g]} - {q}:
+            both = len(sets[q] & sets[j])
+            if both / (len(sets[q]) + len(sets[j]) - both) >= 0.8:
+                pairs += 1
+                missed += got[q].class_id != got[j].class_id
+    assert pairs >= 10 and missed <= 0.01 * pairs, (missed, pairs)
+    texts = defaultdict(set)
+    for i, r in got.items():
+        texts[r.class_id].add((sets[i]))
+    for r in got.values():
+        assert r.class_texts >= len(texts[r.class_id]) and (r.links > 0) == (r.class_texts > 1)
+
+
+def test_what_the_sketch_may_lose():
+    import math
+
+    n = pm.REGISTERS
+    assert sum(math.comb(n, k) * 0.8**k * 0.2 ** (n - k) for k in range(math.ceil(pm.SKETCH_LEAST * n))) < 1e-17
+    assert (1 - 0.8**pm.ROWS) ** pm.BANDS < 4e-6
+
+
 def test_stage_keeps_one_row_of_each_class(docs, empty, texts):
     more = docs.withColumn("node", F.lit(1)).withColumn("salt", F.lit(2)).withColumn("th", F.lit(3))
     out = pm.keep_one(more)
