@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from types import SimpleNamespace
 
+import numpy as np
 from pyspark.sql import functions as F
 
 A, FLAT, K0, FALSE_EAST = 6378137.0, 1 / 298.257223563, 0.9996, 500000.0
@@ -51,6 +52,11 @@ ALPHA, BETA, DELTA = _terms(FORWARD), _terms(INVERSE), _terms(LATITUDE)
 NUMBERS = SimpleNamespace(**{k: getattr(math, k) for k in ("sin", "cos", "tan", "sinh", "cosh", "asinh", "atanh", "atan", "asin", "atan2", "sqrt", "radians", "degrees")})
 COLUMNS = SimpleNamespace(**{k: getattr(F, k) for k in ("sin", "cos", "tan", "sinh", "cosh", "asinh", "atanh", "atan", "asin", "atan2", "sqrt", "radians", "degrees")})
 
+# numpy's names for arrays, where a task works on a whole tile.
+ARRAYS = SimpleNamespace(
+    sin=np.sin, cos=np.cos, tan=np.tan, sinh=np.sinh, cosh=np.cosh, asinh=np.arcsinh, atanh=np.arctanh, atan=np.arctan, asin=np.arcsin, atan2=np.arctan2, sqrt=np.sqrt, radians=np.radians, degrees=np.degrees
+)
+
 
 def central_meridian(epsg: int) -> float:
     if not 32601 <= epsg <= 32660:

@@ -1,55 +1,118 @@
 """Resampling between grids, decimation, and rasterising of vectors.
 
-A target pixel's centre maps to source coordinates by arithmetic; its taps are exploded with
-weights and met by an equality join with the source, then summed. Weights of missing
-taps drop out, as do their shares of the total.
+Resampling goes by tiles of the target. A tile's outline, walked in source coordinates, bounds
+the source pixels that it needs; these are dealt to it (a pixel near an outline to more than one)
+and the task weighs all taps of the tile's pixels at once. Source rows are shuffled once, and the
+boxes that they meet are a few rows for each tile. Weights of missing taps drop out, as do their
+shares of the total.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions import utm
 from gridloom.grid import Grid
 
 TAPS = {"nearest": 1, "bilinear": 2, "cubic": 4}
+TILE, BOX = 256, 1024
 
 
-def _weight(kind: str, d: Column) -> Column:
+def _weight(kind: str, d: np.ndarray) -> np.ndarray:
     """The weight of a tap at a distance of d source pixels."""
     if kind == "nearest":
-        return F.lit(1.0)
+        return np.ones(d.shape)
     if kind == "bilinear":
         return 1 - d
     near = (1.5 * d - 2.5) * d * d + 1
     far = ((-0.5 * d + 2.5) * d - 4) * d + 2
-    return F.when(d <= 1, near).otherwise(far)
+    return np.where(d <= 1, near, far)
 
 
-def source_position(target: Grid, source: Grid) -> tuple[Column, Column]:
-    """A target pixel's centre in source pixels, where whole numbers are centres."""
-    x, y = target.centre(F.col("row"), F.col("col"))
+def source_position(target: Grid, source: Grid, row, col, m=utm.COLUMNS) -> tuple:
+    """A place in target pixels (0.0 is the first pixel's centre) in source pixels, where whole numbers are centres."""
+    x, y = target.x0 + (col + 0.5) * target.res, target.y0 - (row + 0.5) * target.res
     if target.epsg != source.epsg:
-        lon, lat = utm.unproject(x, y, target.epsg)
-        x, y = utm.project(lon, lat, source.epsg) if source.epsg != 4326 else (lon, lat)
-    return (F.lit(source.y0) - y) / source.res - 0.5, (x - source.x0) / source.res - 0.5
+        lon, lat = utm.unproject(x, y, target.epsg, m)
+        x, y = utm.project(lon, lat, source.epsg, m) if source.epsg != 4326 else (lon, lat)
+    return (source.y0 - y) / source.res - 0.5, (x - source.x0) / source.res - 0.5
+
+
+def tile_side(source: Grid, target: Grid) -> int:
+    """Target pixels along a tile's side, so that its source box has about BOX pixels a side at most."""
+    middle = target.height / 2, target.width / 2
+    here, there = (source_position(target, source, middle[0] + k, middle[1] + k, utm.NUMBERS) for k in (0, 1))
+    return max(1, min(TILE, int(BOX / max(abs(a - b) for a, b in zip(here, there, strict=True)))))
+
+
+def source_boxes(spark: SparkSession, source: Grid, target: Grid, side: int, taps: int) -> DataFrame:
+    """(tr, tc, r0, r1, c0, c1): the source pixels that each target tile needs; tiles beyond the source are left out."""
+    across, down = -(-target.width // side), -(-target.height // side)
+    share = np.linspace(0, 1, 17)
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            tr, tc = np.divmod(batch["id"].to_numpy(), across)
+            top, left = (tr * side - 0.5)[:, None], (tc * side - 0.5)[:, None]
+            bottom, right = np.minimum(top + side, target.height - 0.5), np.minimum(left + side, target.width - 0.5)
+            x, y = left + share * (right - left), top + share * (bottom - top)
+            rows, cols = np.hstack([top + 0 * x, bottom + 0 * x, y, y]), np.hstack([x, x, left + 0 * y, right + 0 * y])
+            r, c = source_position(target, source, rows, cols, utm.ARRAYS)
+            box = {"r0": np.floor(r.min(axis=1)) - taps, "r1": np.ceil(r.max(axis=1)) + taps, "c0": np.floor(c.min(axis=1)) - taps, "c1": np.ceil(c.max(axis=1)) + taps}
+            near = pd.DataFrame({"tr": tr, "tc": tc} | {k: np.clip(v, -1e9, 1e9) for k, v in box.items()}).astype("int32")
+            yield near[(near.r1 >= 0) & (near.c1 >= 0) & (near.r0 < source.height) & (near.c0 < source.width)]
+
+    near = spark.range(across * down).mapInPandas(walk, "tr int, tc int, r0 int, r1 int, c0 int, c1 int")
+    first, last = [F.greatest(F.lit(0), F.col(k)).alias(k) for k in ("r0", "c0")], [F.least(F.lit(n - 1), F.col(k)).alias(k) for k, n in (("r1", source.height), ("c1", source.width))]
+    return near.select("tr", "tc", *first, *last)
+
+
+def weighed(sr: np.ndarray, sc: np.ndarray, v: np.ndarray, r: np.ndarray, c: np.ndarray, kind: str) -> np.ndarray:
+    """Values at the places (r, c) from the taps (sr, sc, v) around them; NaN where there is none."""
+    taps = TAPS[kind]
+    r0, c0 = int(sr.min()), int(sc.min())
+    box = np.full((int(sr.max()) - r0 + 1, int(sc.max()) - c0 + 1), np.nan)
+    box[sr - r0, sc - c0] = v
+    start = (lambda x: np.floor(x + 0.5)) if taps == 1 else (lambda x: np.floor(x) - (taps // 2 - 1))
+    total, weight = np.zeros(r.shape), np.zeros(r.shape)
+    for i in range(taps):
+        at_r = start(r) + i
+        for j in range(taps):
+            at_c = start(c) + j
+            inside = (at_r >= r0) & (at_r < r0 + box.shape[0]) & (at_c >= c0) & (at_c < c0 + box.shape[1])
+            tap = np.where(inside, box[np.where(inside, at_r - r0, 0).astype(np.int64), np.where(inside, at_c - c0, 0).astype(np.int64)], np.nan)
+            known = ~np.isnan(tap)
+            w = np.where(known, _weight(kind, np.abs(r - at_r)) * _weight(kind, np.abs(c - at_c)), 0.0)
+            total += w * np.where(known, tap, 0.0)
+            weight += w
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return np.where(weight != 0, total / weight, np.nan)
 
 
 def resample(layer: DataFrame, value: str, source: Grid, target: Grid, kind: str = "bilinear") -> DataFrame:
     """(row, col, value) of the target grid; pixels without any tap are left out."""
-    taps = TAPS[kind]
-    r, c = source_position(target, source)
-    base = target.pixels(layer.sparkSession).select("row", "col", r.alias("r"), c.alias("c"))
-    start = (lambda x: F.floor(x + 0.5)) if taps == 1 else (lambda x: F.floor(x) - (taps // 2 - 1))
-    rows = base.withColumn("sr", F.explode(F.sequence(start(F.col("r")), start(F.col("r")) + taps - 1)))
-    both = rows.withColumn("sc", F.explode(F.sequence(start(F.col("c")), start(F.col("c")) + taps - 1)))
-    w = _weight(kind, F.abs(F.col("r") - F.col("sr"))) * _weight(kind, F.abs(F.col("c") - F.col("sc")))
-    inside = both.withColumn("w", w).filter(F.col("sr").between(0, source.height - 1) & F.col("sc").between(0, source.width - 1))
-    known = layer.filter(F.col(value).isNotNull()).select(F.col("row").cast("long").alias("sr"), F.col("col").cast("long").alias("sc"), F.col(value).alias("v"))
-    total = inside.join(known, ["sr", "sc"]).groupBy("row", "col").agg(F.sum(F.col("w") * F.col("v")).alias("s"), F.sum("w").alias("t"))
-    return total.select("row", "col", F.try_divide("s", F.nullif("t", F.lit(0.0))).alias(value)).filter(F.col(value).isNotNull())
+    side, block = tile_side(source, target), 256
+    boxes = source_boxes(layer.sparkSession, source, target, side, TAPS[kind])
+    blocks = lambda a, b: F.sequence(F.expr(f"CAST({a} DIV {block} AS INT)"), F.expr(f"CAST({b} DIV {block} AS INT)"))
+    boxes = boxes.withColumn("br", F.explode(blocks("r0", "r1"))).withColumn("bc", F.explode(blocks("c0", "c1")))
+    known = layer.filter(F.col(value).isNotNull()).select(F.col("row").cast("int").alias("sr"), F.col("col").cast("int").alias("sc"), F.col(value).cast("double").alias("v"))
+    known = known.withColumn("br", F.expr(f"CAST(sr DIV {block} AS INT)")).withColumn("bc", F.expr(f"CAST(sc DIV {block} AS INT)"))
+    dealt = known.join(boxes, ["br", "bc"]).filter("sr BETWEEN r0 AND r1 AND sc BETWEEN c0 AND c1").select("tr", "tc", "sr", "sc", "v")
+
+    def tile(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        top, left = int(key[0]) * side, int(key[1]) * side
+        row, col = (k.ravel() for k in np.mgrid[top : min(top + side, target.height), left : min(left + side, target.width)])
+        r, c = source_position(target, source, row.astype(float), col.astype(float), utm.ARRAYS)
+        got = weighed(rows["sr"].to_numpy(), rows["sc"].to_numpy(), rows["v"].to_numpy(), r, c, kind)
+        some = ~np.isnan(got)
+        return pd.DataFrame({"row": row[some].astype("int32"), "col": col[some].astype("int32"), value: got[some]})
+
+    return dealt.groupBy("tr", "tc").applyInPandas(tile, f"row int, col int, `{value}` double")
 
 
 def footprints(scenes: DataFrame, grid: Grid, points: int = 21) -> DataFrame:

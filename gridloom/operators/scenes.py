@@ -96,7 +96,10 @@ def mosaic(tiles: DataFrame, value: str) -> DataFrame:
 
 
 # Tags that count as roads and as perennial water.
-ROADS = tuple("motorway trunk primary secondary tertiary unclassified residential service track motorway_link trunk_link primary_link secondary_link tertiary_link".split())
+ROADS = (
+    "motorway", "trunk", "primary", "secondary", "tertiary", "unclassified", "residential", "service", "track",
+    "motorway_link", "trunk_link", "primary_link", "secondary_link", "tertiary_link",
+)
 WATERWAYS, WATER_NATURAL, WATER_LANDUSE = ("river", "canal"), ("water",), ("reservoir", "basin")
 
 

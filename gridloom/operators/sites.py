@@ -30,8 +30,7 @@ PLACES = {"lat": 6, "lon": 6, "score": 1, "score_max": 1, "area_ha": 2, "mean_sl
 def candidates(stack: DataFrame, min_score: int = 1) -> DataFrame:
     """The stack with ``mask`` (cleaned) and ``core`` (its erosion)."""
     raw = stack.withColumn("mask", F.coalesce((F.col("score") >= min_score) & F.col("valid"), F.lit(False)))
-    clean = morphology.opened(raw, "mask")
-    return morphology.eroded(clean.withColumn("core", F.col("mask")), "core")
+    return morphology.opened_with_core(raw, "mask")
 
 
 def labelled(stack: DataFrame, grid: Grid, min_score: int = 1, min_area_ha: float = MIN_AREA_HA) -> DataFrame:

@@ -1,26 +1,19 @@
 """Neighbourhood access and slope.
 
-Two window passes, by row and then by column, give a pixel all eight neighbours. Both are
-partitioned by a line of the grid, so a task holds lines and never the raster.
+Two window passes, by row and then by column, give a pixel all eight neighbours. Both run
+inside stripes with a halo, so one shuffle serves them and a task never holds the raster.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.numbers import rint
 from gridloom.grid import Grid
-
-
-def by_row() -> WindowSpec:
-    return Window.partitionBy("row").orderBy("col")
-
-
-def by_col() -> WindowSpec:
-    return Window.partitionBy("col").orderBy("row")
+from gridloom.operators.halo import by_col, by_row, dealt, own
 
 
 def neighbours(layer: DataFrame, value: str, grid: Grid) -> DataFrame:
@@ -28,11 +21,11 @@ def neighbours(layer: DataFrame, value: str, grid: Grid) -> DataFrame:
     v = F.col(value)
     left = F.when(F.col("col") == 0, v).otherwise(F.lag(v).over(by_row()))
     right = F.when(F.col("col") == grid.width - 1, v).otherwise(F.lead(v).over(by_row()))
-    lines = layer.withColumn("__line", F.array(left, v, right))
+    lines = dealt(layer, 1).withColumn("__line", F.array(left, v, right))
     line = F.col("__line")
     above = F.when(F.col("row") == 0, line).otherwise(F.lag(line).over(by_col()))
     below = F.when(F.col("row") == grid.height - 1, line).otherwise(F.lead(line).over(by_col()))
-    return lines.withColumn("__n", F.concat(above, line, below)).drop("__line")
+    return own(lines.withColumn("__n", F.concat(above, line, below)).drop("__line"))
 
 
 def horn_slope(layer: DataFrame, value: str, grid: Grid, res: float | None = None, out: str = "slope") -> DataFrame:

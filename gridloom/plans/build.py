@@ -16,6 +16,11 @@ COVERAGE = {"dist_road": (0.90, True), "dist_water": (0.50, False)}  # Fixed val
 CELLS = 10
 
 
+def written(spark: SparkSession, root: str, region: str, name: str) -> DataFrame:
+    """A stored layer to two places: what its summary counts, so that it has few different values and nothing is computed twice."""
+    return layers.scan(spark, root, region, name).select(F.round(name, 2).alias(name))
+
+
 def build_terrain(mosaic: DataFrame, source: Grid, grid: Grid, root: str, region: str) -> DataFrame:
     """Elevation by cubic resampling, slope at 30 m with a margin brought back by lines; returns the slope's summary."""
     dem = resample.resample(mosaic, "elevation", source, grid, "cubic")
@@ -26,7 +31,7 @@ def build_terrain(mosaic: DataFrame, source: Grid, grid: Grid, root: str, region
     slope = grid.pixels(mosaic.sparkSession).join(back, ["row", "col"], "left")
     layers.write(full, root, region, "elevation", grid)
     layers.write(slope, root, region, "slope", grid)
-    return terrain.summary(slope, "slope", above=(5.0, 10.0, 15.0))
+    return terrain.summary(written(slope.sparkSession, root, region, "slope"), "slope", above=(5.0, 10.0, 15.0))
 
 
 def build_landcover(mosaic: DataFrame, source: Grid, grid: Grid, root: str, region: str) -> DataFrame:
@@ -34,7 +39,7 @@ def build_landcover(mosaic: DataFrame, source: Grid, grid: Grid, root: str, regi
     near = resample.resample(mosaic, "code", source, grid, "nearest").select("row", "col", F.nullif(landcover.merged(F.col("code")), F.lit(0)).alias("landcover"))
     full = grid.pixels(mosaic.sparkSession).join(near, ["row", "col"], "left")
     layers.write(full, root, region, "landcover", grid)
-    return landcover.histogram(full.select(F.coalesce("landcover", F.lit(0)).alias("landcover")))
+    return landcover.histogram(layers.scan(full.sparkSession, root, region, "landcover").select(F.coalesce("landcover", F.lit(0)).alias("landcover")))
 
 
 def build_distance(features: DataFrame, grid: Grid, root: str, region: str, name: str, areas: DataFrame | None = None) -> DataFrame:
@@ -47,7 +52,7 @@ def build_distance(features: DataFrame, grid: Grid, root: str, region: str, name
     distance.require_coverage(distance.coverage(burnt, "f", grid, CELLS, floor), name, fatal)
     out = distance.nearest(burnt, "f", grid).select("row", "col", F.col("distance").alias(name))
     layers.write(out, root, region, name, grid)
-    return terrain.summary(out, name, (50, 90, 99), up_to=(1000.0, 5000.0))
+    return terrain.summary(written(out.sparkSession, root, region, name), name, (50, 90, 99), up_to=(1000.0, 5000.0))
 
 
 def roads_and_water(entities: DataFrame) -> tuple[F.Column, F.Column]:

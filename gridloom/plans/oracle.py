@@ -153,8 +153,8 @@ def rgb(score: str, channel: int) -> str:
 def resampled(kind: str, value: str, where: str, outer: str) -> str:
     """The source's rows and columns around each target centre, weighed and averaged over those that exist."""
     s = q.SOURCE
-    r = f"(({s.y0!r}::DOUBLE - (3378690.0::DOUBLE - (g.\"row\" + 0.5) * 10.0)) / 30.0 - 0.5)"
-    c = f"(((186140.0::DOUBLE + (g.col + 0.5) * 10.0) - {s.x0!r}::DOUBLE) / 30.0 - 0.5)"
+    r = f"(({s.y0!r}::DOUBLE - (3378690.0::DOUBLE - (g.\"row\" + 0.5::DOUBLE) * 20.0::DOUBLE)) / 30.0::DOUBLE - 0.5::DOUBLE)"
+    c = f"(((186140.0::DOUBLE + (g.col + 0.5::DOUBLE) * 20.0::DOUBLE) - {s.x0!r}::DOUBLE) / 30.0::DOUBLE - 0.5::DOUBLE)"
     taps = {"nearest": 1, "bilinear": 2, "cubic": 4}[kind]
     start = (lambda x: f"floor({x} + 0.5)") if taps == 1 else (lambda x: f"floor({x}) - {taps // 2 - 1}")
 
@@ -167,7 +167,7 @@ def resampled(kind: str, value: str, where: str, outer: str) -> str:
 
     w = f"{weight('abs(r - sr)')} * {weight('abs(c - sc)')}"
     return over(f"""SELECT "row", col, {outer.format(v='s / nullif(t, 0)')} AS {value} FROM (SELECT a."row", a.col, sum(w * v) AS s, sum(w) AS t FROM
-        (SELECT *, {w} AS w FROM (SELECT g."row", g.col, {r} AS r, {c} AS c, CAST({start(r)} + i AS BIGINT) AS sr, CAST({start(c)} + j AS BIGINT) AS sc FROM grid g, range({taps}) x(i), range({taps}) y(j))) a
+        (SELECT *, {w} AS w FROM (SELECT g."row", g.col, {r} AS r, {c} AS c, CAST({start(r)} + i AS BIGINT) AS sr, CAST({start(c)} + j AS BIGINT) AS sc FROM (SELECT CAST(k // {q.FINE.width} AS INT) AS "row", CAST(k % {q.FINE.width} AS INT) AS col FROM range({q.FINE.width * q.FINE.height}) t(k)) g, range({taps}) x(i), range({taps}) y(j))) a
         JOIN (SELECT "row" AS sr, col AS sc, {value} AS v FROM layers WHERE {where}) b USING (sr, sc) GROUP BY a."row", a.col) WHERE s / nullif(t, 0) IS NOT NULL""")
 
 
@@ -212,7 +212,7 @@ def oracle_sql() -> dict[str, str]:
         "composite_quality": over(f'SELECT "row" // 16 AS stripe, median(clear) AS median_clear, {rint("100 * avg(CAST(clear = 0 AS INT))", 4)} AS empty_pct FROM composite GROUP BY "row" // 16'),
         "landcover_recode": over(f"SELECT code, count(*) AS n, {case('code', MERGE, '0')} AS class FROM (SELECT [{', '.join(map(str, q.CODES))}][CAST(q AS INT) % 11 + 1] AS code FROM looks) GROUP BY code"),
         "landcover_histogram": over(f"SELECT landcover, count(*) AS pixels, {rint('100.0::DOUBLE * count(*) / sum(count(*)) OVER ()', 4)} AS share_pct FROM layers GROUP BY landcover"),
-        "missing_classes": over("SELECT landcover, name FROM (VALUES " + ", ".join(f"({k}, '{NAMES[k]}')" for k in range(1, 7)) + ') t(landcover, name) WHERE landcover NOT IN (SELECT landcover FROM layers WHERE "row" < 8 AND col < 24)'),
+        "missing_classes": over("SELECT landcover, name FROM (VALUES " + ", ".join(f"({k}, '{NAMES[k]}')" for k in range(1, 7)) + ') t(landcover, name) WHERE landcover NOT IN (SELECT CASE WHEN landcover = 5 THEN 2 ELSE landcover END FROM layers)'),
         "elevation_summary": over(f"SELECT count(e) AS n, min(e) AS low, max(e) AS high, {percentiles('e', (1, 25, 50, 75, 99))}, {rint('100 * avg(CAST(e > 520 AS INT))', 4)} AS above_520, {rint('100 * avg(CAST(e <= 505 AS INT))', 4)} AS up_to_505 FROM (SELECT {rint('elevation', 4)} AS e FROM layers)"),
         "horn_slope": over('SELECT "row", col, slope FROM sloped'),
         "slope_exceedance": over(f"SELECT count(slope) AS n, min(slope) AS low, max(slope) AS high, {percentiles('slope', (50, 90, 99))}, " + ", ".join(f"{rint(f'100 * avg(CAST(slope > {c} AS INT))', 4)} AS above_{c}" for c in (5, 10, 15)) + " FROM sloped"),
@@ -277,8 +277,8 @@ def oracle_sql() -> dict[str, str]:
             (SELECT r, CASE WHEN y0 = y1 THEN x0 ELSE {at('greatest(least(y0, y1), r)')} END AS a, CASE WHEN y0 = y1 THEN x1 ELSE {at('least(greatest(y0, y1), r + 1)')} END AS b FROM
             (SELECT {seg.format(k='s_suppkey * 17 % 1280')} / 10.0 + 0.05::DOUBLE AS x0, {seg.format(k='s_suppkey * 29 % 1280')} / 10.0 + 0.05::DOUBLE AS y0, {seg.format(k='s_suppkey * 43 % 1280')} / 10.0 + 0.03::DOUBLE AS x1, {seg.format(k='s_suppkey * 71 % 1280')} / 10.0 + 0.03::DOUBLE AS y1 FROM supplier) s, range(128) t(r)
             WHERE r BETWEEN floor(least(y0, y1)) AND floor(greatest(y0, y1))))""",
-        "resample_bilinear": resampled("bilinear", "elevation", '"row" < 44 AND col < 43 AND NOT ("row" = 20 AND col = 20)', rint("{v} + 1e-7", 4)),
-        "resample_cubic": resampled("cubic", "elevation", '"row" < 44 AND col < 43', rint("{v} + 1e-7", 4)),
-        "resample_nearest": resampled("nearest", "landcover", '"row" < 44 AND col < 43', "CAST({v} AS INT)"),
+        "resample_bilinear": resampled("bilinear", "elevation", 'NOT ("row" = 20 AND col = 20)', rint("{v} + 1e-7", 4)),
+        "resample_cubic": resampled("cubic", "elevation", 'true', rint("{v} + 1e-7", 4)),
+        "resample_nearest": resampled("nearest", "landcover", 'true', "CAST({v} AS INT)"),
         "region_catalog": "SELECT * FROM (VALUES ('A', 'dehradun', 32644, 77.75::DOUBLE, 30.5::DOUBLE), ('B', 'majuli', 32646, 93.8::DOUBLE, 27.15::DOUBLE)) t(id, name, epsg, west, north)",
     }

@@ -86,7 +86,8 @@ def landcover_histogram(spark, d):
 
 
 def missing_classes(spark, d):
-    return landcover.missing(layers(spark, d).filter("row < 8 AND col < 24"))
+    """Classes that the whole layer lacks, of a layer whose fifth class counts as its second."""
+    return landcover.missing(layers(spark, d).withColumn("landcover", F.when(F.col("landcover") == 5, 2).otherwise(F.col("landcover"))))
 
 
 def elevation_summary(spark, d):
@@ -389,24 +390,24 @@ def rasterize_segments(spark, d):
     return resample.touched_by_segments(_segments(spark, d), GRID)
 
 
-SOURCE = Grid(32644, 186140.0 - 7, 3378690.0 + 11, 30.0, 43, 44)
+# The whole raster as one of 30 m pixels, and a grid of 20 m pixels over it.
+SOURCE = Grid(32644, 186140.0 - 7, 3378690.0 + 11, 30.0, SIDE, SIDE)
+FINE = Grid(32644, 186140.0, 3378690.0, 20.0, 190, 190)
 
 
 def resample_bilinear(spark, d):
-    coarse = layers(spark, d).filter("row < 44 AND col < 43 AND NOT (row = 20 AND col = 20)")
-    out = resample.resample(coarse.select("row", "col", "elevation"), "elevation", SOURCE, GRID, "bilinear")
+    coarse = layers(spark, d).select("row", "col", F.when(~((F.col("row") == 20) & (F.col("col") == 20)), F.col("elevation")).alias("elevation"))
+    out = resample.resample(coarse, "elevation", SOURCE, FINE, "bilinear")
     return out.select("row", "col", rint(F.col("elevation") + NUDGE, 4).alias("elevation"))
 
 
 def resample_cubic(spark, d):
-    coarse = layers(spark, d).filter("row < 44 AND col < 43")
-    out = resample.resample(coarse.select("row", "col", "elevation"), "elevation", SOURCE, GRID, "cubic")
+    out = resample.resample(layers(spark, d).select("row", "col", "elevation"), "elevation", SOURCE, FINE, "cubic")
     return out.select("row", "col", rint(F.col("elevation") + NUDGE, 4).alias("elevation"))
 
 
 def resample_nearest(spark, d):
-    coarse = layers(spark, d).filter("row < 44 AND col < 43")
-    return resample.resample(coarse.select("row", "col", "landcover"), "landcover", SOURCE, GRID, "nearest").withColumn("landcover", F.col("landcover").cast("int"))
+    return resample.resample(layers(spark, d).select("row", "col", "landcover"), "landcover", SOURCE, FINE, "nearest").withColumn("landcover", F.col("landcover").cast("int"))
 
 
 def clean_pixels(spark, d):

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import asdict
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,14 +73,19 @@ def scan(spark: SparkSession, root: str, region: str, name: str, window: Window
 
 
 def load(spark: SparkSession, root: str, region: str, grid: Grid, window: Window | None = None) -> DataFrame:
-    """All five layers aligned by row and col, with ``valid``; the join keys carry the stripe, so sides stay co-located."""
+    """All five layers aligned by row and col, with ``valid``: one aggregation over the five scans' rows, so one shuffle.
+
+    Every stored layer holds each pixel of the grid once (``check``), so no row is missing on any side.
+    """
     if gone := missing(spark, root, region):
         raise FileNotFoundError(f"region {region} lacks {', '.join(gone)}")
-    stack = None
+    scans = {}
     for name in NAMES:
         grid.require(header(spark, root, region, name), name)
-        own = scan(spark, root, region, name, window).select("stripe", "row", "col", F.col(name))
-        stack = own if stack is None else stack.join(own, ["stripe", "row", "col"])
+        scans[name] = scan(spark, root, region, name, window)
+    types = {name: rows.schema[name].dataType for name, rows in scans.items()}
+    rows = [own.select("stripe", "row", "col", *[F.col(n) if n == name else F.lit(None).cast(types[n]).alias(n) for n in NAMES]) for name, own in scans.items()]
+    stack = reduce(DataFrame.unionByName, rows).groupBy("stripe", "row", "col").agg(*[F.max(n).alias(n) for n in NAMES])
     valid = F.lit(True)
     for name in NAMES:
         valid = valid & F.col(name).isNotNull()
