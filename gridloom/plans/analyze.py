@@ -12,7 +12,7 @@ from gridloom.functions import colours, utm
 from gridloom.grid import REGIONS, Grid, Window, grid_for
 from gridloom.operators import resample, scoring, sites
 from gridloom.plans import report
-from gridloom.sources import layers, png
+from gridloom.sources import layers, png, tiff
 from gridloom.sources.scratch import materialise
 
 MOST_KM2 = 25.0
@@ -38,6 +38,15 @@ def polygon_pixels(stack: DataFrame, ring: list[tuple[float, float]], grid: Grid
     return stack.join(resample.filled_polygons(edges, grid), ["row", "col"], "left_semi")
 
 
+def require_inside(ring: list[tuple[float, float]], region: str, grid: Grid) -> None:
+    """Every corner of a polygon must lie on the region's grid."""
+    west, south, east, north = grid.bounds
+    for lon, lat in ring:
+        x, y = utm.project(lon, lat, grid.epsg, utm.NUMBERS)
+        if not (west <= x <= east and south <= y <= north):
+            raise ValueError(f"region {region}: the polygon's corner ({lon:g}, {lat:g}) lies outside of it")
+
+
 def scored(stack: DataFrame, scorer: scoring.Scorer) -> DataFrame:
     """The extension point: a scorer turns the stack into a column of whole scores; other numbers are cast."""
     return stack.withColumn("score", F.coalesce(scorer(stack).cast("int"), F.lit(0)))
@@ -50,6 +59,7 @@ def analyze(spark: SparkSession, root: str, region: str = "A", bbox: tuple[float
     """
     grid = grid or grid_for(REGIONS[region])
     if polygon:
+        require_inside(polygon, region, grid)
         xs, ys = zip(*polygon, strict=True)
         bbox, most_km2 = (min(xs), min(ys), max(xs), max(ys)), MOST_KM2 if most_km2 is None else most_km2
     w = window_of(region, bbox, grid, most_km2)
@@ -64,12 +74,13 @@ def analyze(spark: SparkSession, root: str, region: str = "A", bbox: tuple[float
     own = Grid(grid.epsg, grid.x0 + w.col * grid.res, grid.y0 - w.row * grid.res, grid.res, w.width, w.height)
     document = report.payload(region, sites.extract(local, own, top, min_score))
     if out_dir:
-        out = Path(out_dir)
+        out = Path(out_dir).resolve()  # one place for Spark's files and the driver's
         out.mkdir(parents=True, exist_ok=True)
-        local.select("row", "col", "score").write.mode("overwrite").parquet(f"{out_dir}/suitability")
+        local.select("row", "col", "score").write.mode("overwrite").parquet(f"{out.as_uri()}/suitability")
+        tiff.write_one(local, ["score"], own, str(out / "suitability.tif"), "uint8", 0, ["suitability_0_100"])
         k = png.step_for(w.width)
         small = resample.decimated(local.select("row", "col", "score"), k).withColumn("rgb", colours.score_rgb(F.col("score")))
-        png.picture(small, "rgb", -(-w.width // k), -(-w.height // k), str(out / "heatmap.png"))
+        png.picture(small, "rgb", -(-w.width // k), -(-w.height // k), str(out / "suitability_heatmap.png"))
         (out / "sites.json").write_text(json.dumps(document, indent=2))
         report.write(document, str(out / "sites.report.md"))
     return document

@@ -13,7 +13,7 @@ from gridloom.sources import layers
 from gridloom.sources.layers import exists
 
 COVERAGE = {"dist_road": (0.90, True), "dist_water": (0.50, False)}  # Fixed values: the share of cells with a feature, and whether less is fatal.
-CELLS = 10
+CELLS = 4  # Fixed value: cells along a side.
 
 
 def written(spark: SparkSession, root: str, region: str, name: str) -> DataFrame:
@@ -52,10 +52,10 @@ def build_distance(features: DataFrame, grid: Grid, root: str, region: str, name
     distance.require_coverage(distance.coverage(burnt, "f", grid, CELLS, floor), name, fatal)
     out = distance.nearest(burnt, "f", grid).select("row", "col", F.col("distance").alias(name))
     layers.write(out, root, region, name, grid)
-    return terrain.summary(written(out.sparkSession, root, region, name), name, (50, 90, 99), up_to=(1000.0, 5000.0))
+    return terrain.summary(written(out.sparkSession, root, region, name), name, (50, 90, 99), up_to=(500.0, 1000.0, 5000.0))
 
 
-def roads_and_water(entities: DataFrame) -> tuple[F.Column, F.Column]:
+def roads_and_water() -> tuple[F.Column, F.Column]:
     return scenes.is_road(F.col("tags")), scenes.is_water(F.col("tags"))
 
 

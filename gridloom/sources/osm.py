@@ -1,6 +1,8 @@
 """OpenStreetMap extracts (PBF) as a source: one partition for each run of blobs.
 
-Only blob headers are read to plan; tasks decode their blobs. Nodes, ways and relations come as
+Only blob headers are read to plan; tasks decode their blobs. Kinds and a box are options of the
+source: groups of other kinds aren't decoded, and nodes elsewhere aren't returned. (Filters pushed by
+the engine stay with a frame's source for its other readers, so they aren't used.) Nodes, ways and relations come as
 one relation; ``lines`` and ``areas`` join way points to nodes in Spark, so no node index has
 to fit in memory.
 """
@@ -9,7 +11,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,7 +85,10 @@ def inflate(blob: bytes) -> bytes:
     raise ValueError("only plain and zlib blobs are supported")
 
 
-def entities(block: bytes) -> Iterator[tuple]:
+KINDS = {1: "node", 2: "node", 3: "way", 4: "relation"}
+
+
+def entities(block: bytes, kinds: frozenset[str] = frozenset(KINDS.values())) -> Iterator[tuple]:
     fields = list(message(block))
     strings = [v.decode("utf-8", "replace") for k, v in message(next(v for k, v in fields if k == 1)) if k == 1]
     scalars = {k: v for k, v in fields if k in (17, 19, 20)}
@@ -92,8 +97,10 @@ def entities(block: bytes) -> Iterator[tuple]:
     unzig = lambda v: (v >> 1) ^ -(v & 1)
     for _, group in ((k, v) for k, v in fields if k == 2):
         for kind, data in message(group):
+            if KINDS.get(kind) not in kinds:
+                continue
             parts = {}
-            for k, v in message(data) if kind in (1, 2, 3, 4) else ():
+            for k, v in message(data):
                 parts[k] = v
             if kind == 1:
                 tags = dict(zip((strings[i] for i in packed(parts.get(2, b""))), (strings[i] for i in packed(parts.get(3, b""))), strict=True))
@@ -122,6 +129,14 @@ class Run(InputPartition):
 class Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.path, self.per_task = options["path"], int(options.get("blobsPerTask", 8))
+        self.kinds = frozenset(options["kinds"].split(",")) if options.get("kinds") else frozenset(KINDS.values())
+        self.box = tuple(float(x) for x in options["box"].split(",")) if options.get("box") else None
+
+    def wanted(self, row: tuple) -> bool:
+        if self.box is None or row[0] != "node":
+            return True
+        west, south, east, north = self.box
+        return west <= row[3] <= east and south <= row[4] <= north
 
     def partitions(self) -> list[Run]:
         data = [(at, n) for at, n, kind in blobs(self.path) if kind == "OSMData"]
@@ -132,7 +147,7 @@ class Reader(DataSourceReader):
 
         with _open(self.path) as f:
             for at, n in partition.places:
-                yield from entities(inflate(f.read_at(n, at)))
+                yield from filter(self.wanted, entities(inflate(f.read_at(n, at)), self.kinds))
 
 
 class OsmSource(DataSource):
@@ -147,20 +162,32 @@ class OsmSource(DataSource):
         return Reader(dict(self.options))
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
+def read(spark: SparkSession, path: str, kinds: Sequence[str] = (), bbox: tuple[float, float, float, float] | None = None) -> DataFrame:
+    """The entities of an extract: of these kinds only, and nodes of the box only."""
     spark.dataSource.register(OsmSource)
-    return spark.read.format("osmpbf").load(path)
+    options = ({"kinds": ",".join(kinds)} if kinds else {}) | ({"box": ",".join(map(repr, bbox))} if bbox else {})
+    return spark.read.format("osmpbf").options(**options).load(path)
+
+
+def lines_of(spark: SparkSession, path: str, keep: F.Column, bbox: tuple[float, float, float, float] | None = None) -> DataFrame:
+    """lines of an extract, each kind read by itself."""
+    near = None if bbox is None else read(spark, path, ["node"], bbox)
+    return _lines(read(spark, path, ["way"]), read(spark, path, ["node"]), keep, near)
 
 
 def lines(entities: DataFrame, keep: F.Column, bbox: tuple[float, float, float, float] | None = None) -> DataFrame:
     """(id, tags, points) of the ways that keep selects; with a box, those with a point in it."""
-    ways = entities.filter((F.col("kind") == "way") & keep).select("id", "tags", F.posexplode("refs").alias("k", "ref"))
-    nodes = entities.filter("kind = 'node'").select(F.col("id").alias("ref"), "lon", "lat")
-    points = ways.join(nodes, "ref").groupBy("id").agg(F.first("tags").alias("tags"), F.array_sort(F.collect_list(F.struct("k", "lon", "lat"))).alias("points"))
-    if bbox is not None:
-        west, south, east, north = bbox
-        points = points.filter(F.exists("points", lambda p: p["lon"].between(west, east) & p["lat"].between(south, north)))
-    return points
+    nodes = entities.filter("kind = 'node'")
+    near = None if bbox is None else nodes.filter(F.col("lon").between(bbox[0], bbox[2]) & F.col("lat").between(bbox[1], bbox[3]))
+    return _lines(entities.filter("kind = 'way'"), nodes, keep, near)
+
+
+def _lines(ways: DataFrame, nodes: DataFrame, keep: F.Column, near: DataFrame | None) -> DataFrame:
+    refs = ways.filter(keep).select("id", "tags", F.posexplode("refs").alias("k", "ref"))
+    if near is not None:  # the box goes before the join of all points
+        refs = refs.join(refs.join(near.select(F.col("id").alias("ref")), "ref", "left_semi").select("id").distinct(), "id", "left_semi")
+    placed = refs.join(nodes.select(F.col("id").alias("ref"), "lon", "lat"), "ref")
+    return placed.groupBy("id").agg(F.first("tags").alias("tags"), F.array_sort(F.collect_list(F.struct("k", "lon", "lat"))).alias("points"))
 
 
 def padded(bbox: tuple[float, float, float, float], pad: float) -> tuple[float, float, float, float]:

@@ -1,4 +1,4 @@
-"""GeoTIFF as a source and a sink: tiled or striped, plain or deflate, with either predictor.
+"""GeoTIFF as a source and a sink, classic or big: tiled or striped; plain, deflate, LZW or ZSTD; with either predictor.
 
 The source plans one partition for each run of tiles that meets the wanted window, so a
 window reads its own tiles' bytes and no others. Files are reached through Arrow's file
@@ -7,6 +7,7 @@ systems, by local path or uri.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -20,10 +21,12 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from gridloom.grid import Grid, Window
 from gridloom.sources.files import arrow_uri, file_system
+from gridloom.sources.scratch import discard, materialise
 
 # Tags and field sizes of the file format.
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, STRIP_AT, SAMPLES, ROWS_PER_STRIP, STRIP_BYTES, PLANAR = 256, 257, 258, 259, 262, 273, 277, 278, 279, 284
-PREDICTOR, TILE_W, TILE_H, TILE_AT, TILE_BYTES, FORMAT, SCALE, TIEPOINT, GEOKEYS, NODATA = 317, 322, 323, 324, 325, 339, 33550, 33922, 34735, 42113
+PREDICTOR, TILE_W, TILE_H, TILE_AT, TILE_BYTES, FORMAT, SCALE, TIEPOINT, GEOKEYS, NOTES, NODATA = 317, 322, 323, 324, 325, 339, 33550, 33922, 34735, 42112, 42113
+PLAIN, LZW, DEFLATE, OLD_DEFLATE, ZSTD = 1, 5, 8, 32946, 50000
 SIZES = {1: "B", 2: "s", 3: "H", 4: "I", 5: "II", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 16: "Q", 17: "q"}
 KINDS = {1: "u", 2: "i", 3: "f"}
 TILE = 512
@@ -56,28 +59,30 @@ class Header:
 def _open(path: str):
     from pyarrow import fs
 
-    if "://" in path:
-        system, at = fs.FileSystem.from_uri(path)
-    else:
-        system, at = fs.LocalFileSystem(), path
+    system, at = file_system(path) if re.match("[a-z0-9]+:/", path) else (fs.LocalFileSystem(), path)
     return system.open_input_file(at)
 
 
 def read_header(path: str) -> Header:
     with _open(path) as f:
-        head = f.read_at(8, 0)
-        order = {b"II": "<", b"MM": ">"}[head[:2]]
-        if struct.unpack(order + "H", head[2:4])[0] != 42:
-            raise ValueError(f"{path}: not a classic TIFF")
-        at = struct.unpack(order + "I", head[4:])[0]
-        n = struct.unpack(order + "H", f.read_at(2, at))[0]
+        head = f.read_at(16, 0)
+        order = {b"II": "<", b"MM": ">"}.get(head[:2])
+        version = struct.unpack(order + "H", head[2:4])[0] if order else 0
+        if version not in (42, 43):
+            raise ValueError(f"{path}: not a TIFF")
+        # A classic file counts in 4 bytes and a big one in 8.
+        wide, count_of, entry = ("I", "H", 12) if version == 42 else ("Q", "Q", 20)
+        room, ahead = struct.calcsize(wide), struct.calcsize(order + count_of)
+        at = struct.unpack(order + wide, head[4:8] if version == 42 else head[8:16])[0]
+        n = struct.unpack(order + count_of, f.read_at(ahead, at))[0]
+        directory = f.read_at(entry * n, at + ahead)
         tags: dict[int, tuple] = {}
-        for i in range(n):
-            tag, kind, count = struct.unpack(order + "HHI", f.read_at(8, at + 2 + 12 * i))
+        for i in range(0, entry * n, entry):
+            tag, kind, count = struct.unpack(order + "HH" + wide, directory[i : i + 4 + room])
             one = struct.calcsize(SIZES[kind].replace("s", "c"))
-            raw = f.read_at(4, at + 10 + 12 * i)
-            if one * count > 4:
-                raw = f.read_at(one * count, struct.unpack(order + "I", raw)[0])
+            raw = directory[i + 4 + room : i + entry]
+            if one * count > room:
+                raw = f.read_at(one * count, struct.unpack(order + wide, raw)[0])
             tags[tag] = (raw[:count].rstrip(b"\0").decode(),) if kind == 2 else struct.unpack(order + SIZES[kind] * count, raw[: one * count])
     width, height, bands = tags[WIDTH][0], tags[HEIGHT][0], tags.get(SAMPLES, (1,))[0]
     scale, tie = tags.get(SCALE, (1.0, 1.0, 0.0)), tags.get(TIEPOINT, (0.0,) * 6)
@@ -92,12 +97,48 @@ def read_header(path: str) -> Header:
     )
 
 
+def unpack_lzw(blob: bytes) -> bytes:
+    """Codes of 9 to 12 bits, high bits first; 256 clears the table, 257 ends, and widths grow one code early."""
+    first = [bytes([i]) for i in range(256)] + [b"", b""]
+    table, width, before = list(first), 9, b""
+    out, bits, have = bytearray(), 0, 0
+    for byte in blob:
+        bits, have = (bits << 8 | byte) & 0xFFFFFFFF, have + 8
+        if have < width:
+            continue
+        have -= width
+        code = bits >> have & (1 << width) - 1
+        if code == 257:
+            break
+        if code == 256:
+            table, width, before = list(first), 9, b""
+            continue
+        piece = table[code] if code < len(table) else before + before[:1]
+        if before:
+            table.append(before + piece[:1])
+        out += piece
+        before = piece
+        width = min(12, max(9, (len(table) + 1).bit_length()))
+    return bytes(out)
+
+
+def unpacked(blob: bytes, compression: int, size: int) -> bytes:
+    if compression == PLAIN:
+        return blob
+    if compression in (DEFLATE, OLD_DEFLATE):
+        return zlib.decompress(blob)
+    if compression == LZW:
+        return unpack_lzw(blob)
+    if compression == ZSTD:
+        import zstandard
+
+        return zstandard.ZstdDecompressor().decompress(blob, max_output_size=size)
+    raise ValueError(f"compression {compression} isn't supported")
+
+
 def decode(blob: bytes, h: Header, rows: int) -> np.ndarray:
     """(rows, tile_w, samples) of one tile or strip."""
-    if h.compression in (8, 32946):
-        blob = zlib.decompress(blob)
-    elif h.compression != 1:
-        raise ValueError(f"compression {h.compression} isn't supported")
+    blob = unpacked(blob, h.compression, rows * h.tile_w * (h.bands if h.planar == 1 else 1) * np.dtype(h.dtype).itemsize)
     samples = h.bands if h.planar == 1 else 1
     size = np.dtype(h.dtype).itemsize
     if h.predictor == 3:
@@ -128,29 +169,89 @@ def to_bytes(bands: np.ndarray, grid: Grid, nodata: float | None = None) -> byte
                 part = bands[b, r * TILE : (r + 1) * TILE, c * TILE : (c + 1) * TILE]
                 tile[: part.shape[0], : part.shape[1]] = part
                 tiles.append(encode(tile))
-    bits, form = bands.dtype.itemsize * 8, {"u": 1, "i": 2, "f": 3}[bands.dtype.kind]
     at, offsets = 8, []
     for t in tiles:
         offsets.append(at)
         at += len(t)
+    return struct.pack("<2sHI", b"II", 42, at) + b"".join(tiles) + directory(at, grid, bands.dtype, count, offsets, [len(t) for t in tiles], nodata)
+
+
+def directory(at: int, grid: Grid, dtype: np.dtype, count: int, offsets: list[int], lengths: list[int], nodata: float | None, names: list[str] | None = None, big: bool = False) -> bytes:
+    """The file's directory, which stands at ``at`` behind its tiles."""
+    bits, form = dtype.itemsize * 8, {"u": 1, "i": 2, "f": 3}[dtype.kind]
+    wide = "Q" if big else "I"
     fields = {
-        WIDTH: ("I", [width]), HEIGHT: ("I", [height]), BITS: ("H", [bits] * count), COMPRESSION: ("H", [8]), PHOTOMETRIC: ("H", [1]), SAMPLES: ("H", [count]), PLANAR: ("H", [2]), PREDICTOR: ("H", [3 if form == 3 else 2]),
-        TILE_W: ("I", [TILE]), TILE_H: ("I", [TILE]), TILE_AT: ("I", offsets), TILE_BYTES: ("I", [len(t) for t in tiles]), FORMAT: ("H", [form] * count), SCALE: ("d", [grid.res, grid.res, 0.0]),
+        WIDTH: ("I", [grid.width]), HEIGHT: ("I", [grid.height]), BITS: ("H", [bits] * count), COMPRESSION: ("H", [DEFLATE]), PHOTOMETRIC: ("H", [1]), SAMPLES: ("H", [count]), PLANAR: ("H", [2]), PREDICTOR: ("H", [3 if form == 3 else 2]),
+        TILE_W: ("I", [TILE]), TILE_H: ("I", [TILE]), TILE_AT: (wide, offsets), TILE_BYTES: (wide, lengths), FORMAT: ("H", [form] * count), SCALE: ("d", [grid.res, grid.res, 0.0]),
         TIEPOINT: ("d", [0.0, 0.0, 0.0, grid.x0, grid.y0, 0.0]), GEOKEYS: ("H", [1, 1, 0, 3, 1024, 0, 1, 1, 1025, 0, 1, 1, 3072, 0, 1, grid.epsg]),
     }
+    if names:
+        fields[NOTES] = ("s", ["<GDALMetadata>" + "".join(f'<Item name="DESCRIPTION" sample="{i}" role="description">{n}</Item>' for i, n in enumerate(names)) + "</GDALMetadata>"])
     if nodata is not None:
         fields[NODATA] = ("s", [f"{nodata:g}"])
-    codes = {"I": 4, "H": 3, "d": 12, "s": 2}
-    entries, extra, data_at = b"", b"", at + 2 + 12 * len(fields) + 4
+    codes, room = {"I": 4, "H": 3, "d": 12, "s": 2, "Q": 16}, struct.calcsize(wide)
+    head = struct.pack("<Q" if big else "<H", len(fields))
+    entries, extra, data_at = b"", b"", at + len(head) + (4 + 2 * room) * len(fields) + room
     for tag, (kind, values) in sorted(fields.items()):
         raw = (values[0].encode() + b"\0") if kind == "s" else struct.pack(f"<{len(values)}{kind}", *values)
         n = len(raw) if kind == "s" else len(values)
-        if len(raw) > 4:
-            entries += struct.pack("<HHII", tag, codes[kind], n, data_at + len(extra))
-            extra += raw + b"\0" * (len(raw) % 2)
+        entries += struct.pack(f"<HH{wide}", tag, codes[kind], n)
+        if len(raw) > room:
+            entries += struct.pack(f"<{wide}", data_at + len(extra))
+            extra += raw + b"\0" * (-len(raw) % 8)
         else:
-            entries += struct.pack("<HHI", tag, codes[kind], n) + raw.ljust(4, b"\0")
-    return struct.pack("<2sHI", b"II", 42, at) + b"".join(tiles) + struct.pack("<H", len(fields)) + entries + b"\0\0\0\0" + extra
+            entries += raw.ljust(room, b"\0")
+    return head + entries + b"\0" * room + extra
+
+
+def write_one(layer: DataFrame, values: list[str], grid: Grid, path: str, dtype: str, nodata: float, names: list[str] | None = None, big: bool | None = None) -> None:
+    """A layer of any size as one tiled GeoTIFF. Tasks make the tiles; the driver appends them in order and holds one partition of them.
+
+    Files that could pass 4 GB before compression are big ones, unless ``big`` says otherwise.
+    """
+    kind, across, down = np.dtype(dtype), -(-grid.width // TILE), -(-grid.height // TILE)
+    big = grid.width * grid.height * len(values) * kind.itemsize > 4e9 if big is None else big
+
+    def tile(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        top, left = int(key[0]) * TILE, int(key[1]) * TILE
+        out = []
+        for b, name in enumerate(values):
+            part = np.full((TILE, TILE), nodata, kind)
+            known = rows[name].notna().to_numpy()
+            part[rows["row"].to_numpy()[known] - top, rows["col"].to_numpy()[known] - left] = rows[name].to_numpy()[known].astype(kind)
+            out.append(((b * down + int(key[0])) * across + int(key[1]), encode(part)))
+        return pd.DataFrame(out, columns=["number", "blob"])
+
+    dealt = layer.select("row", "col", *values).groupBy(F.expr(f"CAST(row DIV {TILE} AS INT)").alias("tr"), F.expr(f"CAST(col DIV {TILE} AS INT)").alias("tc"))
+    made = materialise(dealt.applyInPandas(tile, "number long, blob binary"), "tiles")
+    empty = encode(np.full((TILE, TILE), nodata, kind))
+    system, at_path = file_system(path)
+    offsets, lengths = [], []
+    with system.open_output_stream(f"{at_path}.part") as out:
+        at = out.write(struct.pack("<2sHHHQ", b"II", 43, 8, 0, 0) if big else struct.pack("<2sHI", b"II", 42, 0))
+
+        def put(blob: bytes) -> None:
+            nonlocal at
+            offsets.append(at)
+            lengths.append(len(blob))
+            at += out.write(blob)
+
+        for r in made.orderBy("number").toLocalIterator():
+            while len(offsets) < r.number:
+                put(empty)  # a tile without a pixel
+            put(bytes(r.blob))
+        while len(offsets) < across * down * len(values):
+            put(empty)
+        out.write(directory(at, grid, kind, len(values), offsets, lengths, nodata, names, big))
+    # The head names the directory's place, which is known only now.
+    head = struct.pack("<2sHHHQ", b"II", 43, 8, 0, at) if big else struct.pack("<2sHI", b"II", 42, at)
+    with system.open_input_stream(f"{at_path}.part") as old, system.open_output_stream(at_path) as new:
+        old.read(len(head))
+        new.write(head)
+        while chunk := old.read(1 << 24):
+            new.write(chunk)
+    system.delete_file(f"{at_path}.part")
+    discard(made)
 
 
 def write(path: str, bands: np.ndarray, grid: Grid, nodata: float | None = None) -> None:

@@ -138,7 +138,7 @@ def test_analyze_end_to_end(spark, tmp_path):
     root = f"file://{tmp_path}/layers"
     _layers(spark, root)
     document = analyze.analyze(spark, root, "A", out_dir=str(tmp_path / "out"), grid=G)
-    assert document["sites"] and {p.name for p in (tmp_path / "out").iterdir()} >= {"heatmap.png", "sites.json", "sites.report.md", "suitability"}
+    assert document["sites"] and {p.name for p in (tmp_path / "out").iterdir()} >= {"suitability_heatmap.png", "suitability.tif", "sites.json", "sites.report.md", "suitability"}
     again = json.loads((tmp_path / "out" / "sites.json").read_text())
     assert again == json.loads(json.dumps(document)) and not report.invented((tmp_path / "out" / "sites.report.md").read_text(), again)
     assert spark.read.parquet(str(tmp_path / "out" / "suitability")).count() == 3000
