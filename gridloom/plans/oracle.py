@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from gridloom.functions import utm
 from gridloom.functions.colours import PALETTE, RAMP
-from gridloom.operators import scenes, scoring, sites
+from gridloom.operators import scenes, scoring, sites, splits
 from gridloom.operators.landcover import MERGE, NAMES
 from gridloom.plans import queries as q
 
@@ -198,6 +198,28 @@ def sensitivity() -> str:
         (SELECT *, row_number() OVER (PARTITION BY scenario ORDER BY s DESC, label) AS i FROM ({rows})) WHERE i = 1""")
 
 
+def polygons() -> str:
+    """Centres inside by crossings to the left, and pixels that an edge's part in a row touches."""
+    x, y = "(s_suppkey * 17 % 1100 / 10.0::DOUBLE + 0.05::DOUBLE)", "(s_suppkey * 29 % 1100 / 10.0::DOUBLE + 0.05::DOUBLE)"
+    corners = [(x, y), (f"({x} + s_suppkey % 13 + 1.13::DOUBLE)", f"({y} + 2.31::DOUBLE)"), (f"({x} + 3.17::DOUBLE)", f"({y} + s_suppkey % 11 + 4.23::DOUBLE)")]
+    edges = " UNION ALL ".join(f"SELECT s_suppkey AS id, {a[0]} AS x0, {a[1]} AS y0, {b[0]} AS x1, {b[1]} AS y1 FROM supplier" for a, b in zip(corners, [*corners[1:], corners[0]], strict=True))
+    at = lambda v: f"x0 + (x1 - x0) * ({v} - y0) / (y1 - y0)"
+    return f"""WITH e AS ({edges}), inside AS (SELECT id, r, c FROM (SELECT id, r, {at('(r + 0.5::DOUBLE)')} AS x FROM e, range(128) t(r) WHERE least(y0, y1) <= r + 0.5 AND r + 0.5 < greatest(y0, y1)) JOIN range(128) u(c) ON x <= c + 0.5::DOUBLE GROUP BY id, r, c HAVING count(*) % 2 = 1),
+        touched AS (SELECT r, unnest(range(CAST(greatest(0, floor(least(a, b))) AS BIGINT), CAST(least(127, floor(greatest(a, b))) AS BIGINT) + 1)) AS c FROM
+            (SELECT r, {at('greatest(least(y0, y1), r)')} AS a, {at('least(greatest(y0, y1), r + 1)')} AS b FROM e, range(128) t(r) WHERE r BETWEEN floor(least(y0, y1)) AND floor(greatest(y0, y1))))
+        SELECT DISTINCT CAST(r AS INT) AS "row", CAST(c AS INT) AS col FROM (SELECT r, c FROM inside UNION ALL SELECT r, c FROM touched)"""
+
+
+def footprints() -> str:
+    """Each box's edges walked in 22 steps, from zone 43 by degrees to zone 44."""
+    lon, lat = utm.unproject(Sql("x"), Sql("y"), 32643, SqlFunctions())
+    east, north = projected("lon", "lat")
+    box = 'SELECT s_suppkey AS id, (700000 + s_suppkey * 37 % 900 * 100)::DOUBLE AS l, (3300000 + s_suppkey * 53 % 700 * 100)::DOUBLE AS b, (700000 + s_suppkey * 37 % 900 * 100 + 1000 + s_suppkey % 50 * 100)::DOUBLE AS r, (3300000 + s_suppkey * 53 % 700 * 100 + 2000)::DOUBLE AS t FROM supplier'
+    ring = " UNION ALL ".join(f"SELECT id, {x} AS x, {y} AS y FROM (SELECT *, k / 22.0::DOUBLE AS f FROM ({box}), range(23) s(k))" for x, y in (("l + f * (r - l)", "b"), ("l + f * (r - l)", "t"), ("l", "b + f * (t - b)"), ("r", "b + f * (t - b)")))
+    ends = ", ".join(rint(f"{how}({c})", 2) + f' AS "{n}"' for how, c, n in (("min", "e", "left"), ("min", "n", "bottom"), ("max", "e", "right"), ("max", "n", "top")))
+    return f"WITH ring AS MATERIALIZED ({ring}), degrees_ AS MATERIALIZED (SELECT id, {lon.text} AS lon, {lat.text} AS lat FROM ring), placed AS MATERIALIZED (SELECT id, {east} AS e, {north} AS n FROM degrees_) SELECT id, {ends} FROM placed GROUP BY id"
+
+
 def oracle_sql() -> dict[str, str]:
     zonal = ", ".join(f"{rint(f'CAST({c} AS DOUBLE)', 3)} AS {c}" for c in ("mean_score", "max_score", "mean_slope", "max_slope", "min_road", "min_water", "mean_elevation", "mean_row", "mean_col"))
     x, y = "(186140.0::DOUBLE + (mean_col + 0.5) * 10.0)", "(3378690.0::DOUBLE - (mean_row + 0.5) * 10.0)"
@@ -277,6 +299,11 @@ def oracle_sql() -> dict[str, str]:
             (SELECT r, CASE WHEN y0 = y1 THEN x0 ELSE {at('greatest(least(y0, y1), r)')} END AS a, CASE WHEN y0 = y1 THEN x1 ELSE {at('least(greatest(y0, y1), r + 1)')} END AS b FROM
             (SELECT {seg.format(k='s_suppkey * 17 % 1280')} / 10.0 + 0.05::DOUBLE AS x0, {seg.format(k='s_suppkey * 29 % 1280')} / 10.0 + 0.05::DOUBLE AS y0, {seg.format(k='s_suppkey * 43 % 1280')} / 10.0 + 0.03::DOUBLE AS x1, {seg.format(k='s_suppkey * 71 % 1280')} / 10.0 + 0.03::DOUBLE AS y1 FROM supplier) s, range(128) t(r)
             WHERE r BETWEEN floor(least(y0, y1)) AND floor(greatest(y0, y1))))""",
+        "polygon_fill": polygons(),
+        "scene_footprints": footprints(),
+        "exact_rounding": "SELECT v, round_even(v, 2) AS rounded, count(*) AS n FROM (SELECT l_quantity / 8 AS v FROM lineitem) GROUP BY v",
+        "region_grids": "SELECT * FROM (VALUES ('A', 32644, 186140::DOUBLE, 3378690::DOUBLE, 10::DOUBLE, 5953, 6804), ('B', 32646, 579260::DOUBLE, 3003940::DOUBLE, 10::DOUBLE, 7004, 5603)) t(id, epsg, x0, y0, res, width, height)",
+        "seeded_blocks": "SELECT * FROM (VALUES " + ", ".join(f"('{r}', {a}, {b})" for r, blocks in splits.VAL_BLOCKS.items() for a, b in blocks) + ") t(id, block_row, block_col)",
         "resample_bilinear": resampled("bilinear", "elevation", 'NOT ("row" = 20 AND col = 20)', rint("{v} + 1e-7", 4)),
         "resample_cubic": resampled("cubic", "elevation", 'true', rint("{v} + 1e-7", 4)),
         "resample_nearest": resampled("nearest", "landcover", 'true', "CAST({v} AS INT)"),

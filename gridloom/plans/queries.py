@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions import colours, utm
-from gridloom.functions.numbers import bucket, numerals, rint
-from gridloom.grid import Grid
+from gridloom.functions.numbers import bucket, exact_round, numerals, rint
+from gridloom.grid import REGIONS, Grid, grid_for
 from gridloom.operators import components, composite, distance, landcover, morphology, resample, scenes, scoring, sites, splits, stats, terrain
 from gridloom.plans import report
 from gridloom.sources import virtual
@@ -410,6 +410,46 @@ def resample_nearest(spark, d):
     return resample.resample(layers(spark, d).select("row", "col", "landcover"), "landcover", SOURCE, FINE, "nearest").withColumn("landcover", F.col("landcover").cast("int"))
 
 
+def _triangles(spark: SparkSession, d: str) -> DataFrame:
+    """The edges of a small triangle for each supplier, in grid pixels."""
+    k = F.col("s_suppkey")
+    x, y = k * 17 % 1100 / 10.0 + 0.05, k * 29 % 1100 / 10.0 + 0.05
+    corners = [(x, y), (x + k % 13 + 1.13, y + 2.31), (x + 3.17, y + k % 11 + 4.23)]
+    edges = [F.struct(*[c.alias(n) for c, n in zip((*a, *b), ("x0", "y0", "x1", "y1"), strict=True)]) for a, b in zip(corners, [*corners[1:], corners[0]], strict=True)]
+    return table(spark, d, "supplier").select(k.alias("id"), F.explode(F.array(*edges)).alias("e")).select("id", "e.*")
+
+
+def polygon_fill(spark, d):
+    """Pixels of triangles by the even-odd rule and by touch."""
+    return resample.filled_polygons(_triangles(spark, d), GRID)
+
+
+def scene_footprints(spark, d):
+    """Boxes of a neighbouring zone as bounds in the grid's zone."""
+    k = F.col("s_suppkey")
+    left, bottom = (700_000 + k * 37 % 900 * 100).cast("double"), (3_300_000 + k * 53 % 700 * 100).cast("double")
+    boxes = table(spark, d, "supplier").select(k.alias("id"), F.lit(32643).alias("epsg"), left.alias("left"), bottom.alias("bottom"), (left + 1000 + k % 50 * 100).alias("right"), (bottom + 2000.0).alias("top"))
+    return resample.footprints(boxes, GRID).select("id", *[rint(F.col(c), 2).alias(c) for c in ("left", "bottom", "right", "top")])
+
+
+def exact_rounding(spark, d):
+    """Whole eighths, which binary numbers hold exactly, to two places."""
+    rows = table(spark, d, "lineitem").select((F.col("l_quantity") / 8).alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    return rows.select("v", exact_round(2)(F.col("v")).alias("rounded"), "n")
+
+
+def region_grids(spark, d):
+    """The grids that follow from the regions' boxes."""
+    grids = [(r.id, g.epsg, g.x0, g.y0, g.res, g.width, g.height) for r in REGIONS.values() for g in [grid_for(r)]]
+    return spark.createDataFrame(grids, "id string, epsg int, x0 double, y0 double, res double, width int, height int")
+
+
+def seeded_blocks(spark, d):
+    """The validation blocks that the seed draws, against those that are frozen."""
+    rows = [(r.id, *b) for r in REGIONS.values() for b in splits.chosen_blocks(splits.block_shape(grid_for(r).height, grid_for(r).width))]
+    return spark.createDataFrame(rows, "id string, block_row int, block_col int")
+
+
 def clean_pixels(spark, d):
     """Erosion alone: cores of the plain score's good ground."""
     rows = _parity(spark, d).withColumn("core", F.col("score") > 0)
@@ -428,7 +468,7 @@ nearest_water_elevation binary_opening clean_pixels edge_fraction connected_comp
 suitability_parity suitability_weighted score_summary sensitivity heatmap_rgb class_rgb quicklook_stretch decimate_average decimate_nearest stripe_partition
 split_expand_buffer patch_origins class_balance split_shares band_stats train_vs_region_stats scene_search scene_topn scene_report scene_properties
 tile_starvation manifest_json numeral_extract numeral_verify verdict_bucket confusion_matrix miou_f1 class_weights wet_label_agreement window_values
-utm_forward utm_inverse rasterize_segments resample_bilinear resample_cubic resample_nearest region_catalog""".split())
+utm_forward utm_inverse rasterize_segments resample_bilinear resample_cubic resample_nearest region_catalog polygon_fill scene_footprints exact_rounding region_grids seeded_blocks""".split())
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
