@@ -28,17 +28,23 @@ HOT = 20_000
 def give_back(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, deal_by: str, how: str = "left", hot: int = HOT) -> DataFrame:
     """rows joined to groups, a written table of one row for each key with its number of rows in ``size``.
 
-    Groups of more than 1 / hot of all rows are fewer than hot, so their keys (and only these) are
-    broadcast; their rows are dealt over as many copies of the group as they hold such shares.
+    Groups of more than 1 / hot of all rows are fewer than hot, so a number for each of their keys'
+    hashes (16 bytes, and nothing else) is broadcast; rows of such a hash are dealt over that many
+    copies of their group, as many as the group holds such shares.
     So no task gets more than a share of the rows of one key, at any size of the table. __gb_salt,
     which follows from deal_by, stays: a window by the keys and it needs no further shuffle.
     """
     share = (groups.agg(F.sum(size)).first()[0] or 0) // hot + 1
     copies = F.floor((F.col(size) - 1) / share).cast("int")
-    large = groups.filter(F.col(size) > share).select(*keys, (copies + 1).alias("__gb_copies"))
-    dealt = rows.join(F.broadcast(large), keys, "left").withColumn("__gb_salt", F.pmod(F.xxhash64(deal_by), F.coalesce("__gb_copies", F.lit(1))).cast("int"))
-    spread = groups.withColumn("__gb_salt", F.explode(F.sequence(F.lit(0), F.greatest(copies, F.lit(0)))))
-    return dealt.join(spread, [*keys, "__gb_salt"], how).drop("__gb_copies")
+    h = F.xxhash64(*keys)
+    large = groups.filter(F.col(size) > share).groupBy(h.alias("__gb_key")).agg(F.max(copies + 1).alias("__gb_copies"))
+
+    def counted(side: DataFrame) -> DataFrame:
+        return side.withColumn("__gb_key", h).join(F.broadcast(large), "__gb_key", "left").withColumn("__gb_copies", F.coalesce("__gb_copies", F.lit(1)))
+
+    dealt = counted(rows).withColumn("__gb_salt", F.pmod(F.xxhash64(deal_by), "__gb_copies").cast("int")).drop("__gb_key", "__gb_copies")
+    spread = counted(groups).withColumn("__gb_salt", F.explode(F.sequence(F.lit(0), F.col("__gb_copies") - 1))).drop("__gb_key", "__gb_copies")
+    return dealt.join(spread, [*keys, "__gb_salt"], how)
 
 
 def whole_text(column: Column) -> Column:
