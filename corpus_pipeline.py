@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import exact_dedup, packing, pii, probminhash, toxicity
-from gridloom.llm.common import materialise, table
+from gridloom.llm.common import discard, materialise, table
 from gridloom.ship import shipped
 
 
@@ -66,5 +66,7 @@ ORACLE_SQL = None  # SQL expresses neither the classifier nor the tokenizer; tes
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        kept = materialise(stage(spark, docs, sf_dir), name)
+        discard(docs)  # what the stage before wrote has no more readers; the documents themselves stay
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
