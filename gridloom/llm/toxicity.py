@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.common import materialise, table
 
-MOST_TOXIC, MOST_ANY, WIDE, VOCABULARY, LEAST_DOCS, THRESHOLD = 1_500, 3_500, 8_192, 50_000, 4, 0.3
+MOST_TOXIC, MOST_ANY, WIDE, VOCABULARY, LEAST_DOCS, THRESHOLD = 1_200, 3_000, 8_192, 50_000, 4, 0.3
 STEPS, RATE, SPARSITY, BETA = 150, 0.05, 1e-3, 0.0
 PRIOR, FOLDS, FOLD_STEPS, FEWEST, DELTA = 0.1, 4, 100, 20, 0.1
 BEGINNINGS = (4, 5, 6, 7)
@@ -99,34 +99,45 @@ def vector(text: str) -> Vector:
 
 
 class Matrix:
-    """Vectors over the features of LEAST_DOCS vectors or more (the VOCABULARY most spread ones), by rows and by columns."""
+    """Vectors over the features of LEAST_DOCS vectors or more (the VOCABULARY most spread ones), by rows and by columns.
+
+    Places take 4 bytes and values 4, twice; products are made in single precision.
+    """
 
     def __init__(self, vectors: list[Vector]):
         self.n = len(vectors)
-        every = np.concatenate([v[0] for v in vectors] or [np.zeros(0, np.uint32)])
-        names, place, spread = np.unique(every, return_inverse=True, return_counts=True)
+        names, spread = np.unique(np.concatenate([v[0] for v in vectors] or [np.zeros(0, np.uint32)]), return_counts=True)
         chosen = np.lexsort((names, -spread))
         chosen = chosen[spread[chosen] >= LEAST_DOCS][:VOCABULARY]
-        at = np.full(len(names), -1, np.int64)
-        at[chosen] = np.arange(len(chosen))
-        self.names, cols = names[chosen], at[place]
-        rows = np.repeat(np.arange(self.n), [len(v[0]) for v in vectors])
-        values = np.concatenate([v[1] for v in vectors] or [np.zeros(0, np.float32)])
-        used = cols >= 0
-        self.cols, self.values, rows = cols[used], values[used], rows[used]
-        self.some, self.starts = np.unique(rows, return_index=True)  # rows with features, and where they begin
-        turned = np.argsort(self.cols, kind="stable")
-        self.turned_rows, self.turned_values = rows[turned], self.values[turned]
-        self.col_starts = np.unique(self.cols[turned], return_index=True)[1]
+        self.names = np.sort(names[chosen])
+        cols, values = [np.zeros(0, np.int32)], [np.zeros(0, np.float32)]
+        for own, v in vectors if len(self.names) else ():
+            at = np.minimum(np.searchsorted(self.names, own), len(self.names) - 1).astype(np.int32)
+            used = self.names[at] == own
+            cols.append(at[used])
+            values.append(v[used])
+        lengths = np.array([len(c) for c in cols[1:]] or [0] * self.n, np.int64)
+        self.cols, self.values = np.concatenate(cols), np.concatenate(values)
+        self.some = np.flatnonzero(lengths)  # rows with features, and where they begin
+        self.starts = (np.cumsum(lengths) - lengths)[self.some]
+        turned = np.argsort(self.cols, kind="stable").astype(np.int32)
+        self.turned_rows, self.turned_values = np.repeat(np.arange(self.n, dtype=np.int32), lengths)[turned], self.values[turned]
+        self.col_starts = np.searchsorted(self.cols[turned], np.arange(len(self.names)))
 
     def times(self, weights: np.ndarray) -> np.ndarray:
         out = np.zeros(self.n)
         if len(self.some):
-            out[self.some] = np.add.reduceat(weights[self.cols] * self.values, self.starts)
+            products = weights.astype(np.float32)[self.cols]
+            products *= self.values
+            out[self.some] = np.add.reduceat(products, self.starts)
         return out
 
     def turned_times(self, by_row: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(by_row[self.turned_rows] * self.turned_values, self.col_starts) if len(self.names) else np.zeros(0)
+        if not len(self.names):
+            return np.zeros(0)
+        products = by_row.astype(np.float32)[self.turned_rows]
+        products *= self.turned_values
+        return np.add.reduceat(products, self.col_starts).astype(float)
 
 
 def risk(z: np.ndarray, share_p: np.ndarray, share_u: np.ndarray) -> tuple[float, float, np.ndarray, np.ndarray]:
@@ -182,12 +193,11 @@ def estimated_prior(x: Matrix, in_p: np.ndarray, in_u: np.ndarray) -> float:
     return best_bin(scores[in_p], scores[in_u])
 
 
-def train_on(toxic: list[Vector], any_kind: list[Vector], steps: int = STEPS) -> Model:
-    """Fits P = toxic against U = any_kind."""
+def train_on(x: Matrix, toxic: int, steps: int = STEPS) -> Model:
+    """Fits P = the first ``toxic`` rows against U = the others."""
     if not toxic:
         return Model({}, 0.0)
-    x = Matrix([*toxic, *any_kind])
-    in_p = np.arange(x.n) < len(toxic)
+    in_p = np.arange(x.n) < toxic
     in_u = ~in_p
     prior = estimated_prior(x, in_p, in_u)
     w, b = descend(x, in_p, in_u, prior, steps)
@@ -197,7 +207,8 @@ def train_on(toxic: list[Vector], any_kind: list[Vector], steps: int = STEPS) ->
 def train(texts: list[str], toxic: list[int], steps: int = STEPS) -> Model:
     """Fits P = texts with toxic 1 against U = all texts, in memory."""
     vectors = [vector(t) for t in texts]
-    return train_on([v for v, y in zip(vectors, toxic, strict=True) if y == 1], vectors, steps)
+    chosen = [v for v, y in zip(vectors, toxic, strict=True) if y == 1]
+    return train_on(Matrix([*chosen, *vectors]), len(chosen), steps)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -239,9 +250,14 @@ def learnt_from(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC
 
 def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most_any: int = MOST_ANY) -> Model:
     """Trains on bounded samples; the driver gets a hashed vector for each document of these."""
-    rows = learnt_from(docs, labels, most_toxic, most_any).toPandas().sort_values("doc_id")
-    vectors = [(np.frombuffer(n, "<u4"), np.frombuffer(v, "<f4")) for n, v in zip(rows["names"], rows["vals"], strict=True)]
-    return train_on([v for v, p in zip(vectors, rows["p"], strict=True) if p], [v for v, u in zip(vectors, rows["u"], strict=True) if u])
+    rows = learnt_from(docs, labels, most_toxic, most_any).toArrow()
+    order = np.argsort(rows["doc_id"].to_numpy()).tolist()
+    names, values, p, u = (rows[c] for c in ("names", "vals", "p", "u"))
+    some = [*(i for i in order if p[i].as_py()), *(i for i in order if u[i].as_py())]
+    toxic = sum(x.as_py() for x in p)
+    x = Matrix([(np.frombuffer(names[i].as_buffer(), "<u4"), np.frombuffer(values[i].as_buffer(), "<f4")) for i in some])
+    del rows, names, values  # the matrix is all that training needs
+    return train_on(x, toxic)
 
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
