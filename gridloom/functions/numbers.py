@@ -27,17 +27,20 @@ def exact_round(places: int):
     return rounded
 
 
-def normalised_numeral(text: Column) -> Column:
-    """1, 1.0 and 1.00 are one number; others keep six places."""
-    x = text.cast("double")
-    short = F.rtrim(F.format_string("%.6f", x), F.lit("0"))
-    return F.when(x == F.floor(x), F.format_string("%.0f", x)).otherwise(short)
+def normalised_numeral(value: Column) -> Column:
+    """1, 1.0 and 1.00 are one number; others keep six places. All digits are those of the exact binary value, as C's printf
+    writes them: Spark's format_string rounds the shortest decimal instead, and its floor ends at 2 ** 63."""
+    @F.pandas_udf("string")
+    def written(x: pd.Series) -> pd.Series:
+        return pd.Series([None if v != v else f"{v:.0f}" if v.is_integer() else f"{v:.6f}".rstrip("0") for v in x.tolist()], dtype=object)
+
+    return written(value.cast("double"))
 
 
 def numerals(text: Column) -> Column:
-    """The distinct numerals of a text; signs aren't part of them."""
+    """The distinct numerals of a text, as numbers; signs aren't part of them."""
     found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(NUMERAL), F.lit(0))
-    return F.array_distinct(F.transform(found, normalised_numeral))
+    return F.array_distinct(F.transform(found, lambda t: t.cast("double")))
 
 
 def plain_numeral(value: float | str) -> str:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions import colours, utm
-from gridloom.functions.numbers import bucket, exact_round, numerals, rint
+from gridloom.functions.numbers import bucket, exact_round, normalised_numeral, numerals, rint
 from gridloom.grid import REGIONS, Grid, grid_for
 from gridloom.operators import components, composite, distance, landcover, morphology, resample, scenes, scoring, sites, splits, stats, terrain
 from gridloom.plans import report
@@ -327,16 +327,20 @@ def manifest_json(spark, d):
     return back.select("m.region", "m.scene_count", F.posexplode("m.scenes").alias("place", "s")).select("region", "scene_count", "place", F.col("s.id").alias("id"), F.col("s.tile").alias("tile"), F.col("s.datetime").alias("datetime"))
 
 
+def _numerals(spark, d, name, *key):
+    """Each numeral of a table's texts, once for each key. Only numbers go to Python, not texts; unlike numbers can end in one numeral."""
+    found = table(spark, d, name).select(*key, F.explode(numerals(F.col("text"))).alias("x"))
+    return found.select(*key, normalised_numeral(F.col("x")).alias("numeral")).distinct()
+
+
 def numeral_extract(spark, d):
-    rows = table(spark, d, "documents").select("doc_id", numerals(F.col("text")).alias("n"))
-    return rows.select("doc_id", F.explode("n").alias("numeral"))
+    return _numerals(spark, d, "documents", "doc_id")
 
 
 def numeral_verify(spark, d):
     """Numerals of documents that the benchmark's texts don't hold, by anti-join."""
     own = numeral_extract(spark, d).groupBy("numeral").agg(F.count(F.lit(1)).alias("docs"))
-    allowed = table(spark, d, "benchmark").select(F.explode(numerals(F.col("text"))).alias("numeral")).distinct()
-    return own.join(allowed, "numeral", "left_anti")
+    return own.join(_numerals(spark, d, "benchmark"), "numeral", "left_anti")
 
 
 def verdict_bucket(spark, d):
