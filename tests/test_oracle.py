@@ -62,3 +62,10 @@ def test_numerals_have_the_digits_of_their_exact_value(spark, tmp_path):
     got = against_sql(spark, tmp_path, "numeral_extract", {"documents": ("doc_id", documents)})
     assert {("0", "909955422195631390720"), ("1", "0."), ("1", "0.007812"), ("1", "123456789012.345673"), ("2", "inf"), ("2", "5")} <= set(got)
     assert [n for k, n in got if k == "7"] == ["1", "2"]
+
+
+def test_numerals_are_verified_by_their_exact_value(spark, tmp_path):
+    documents = [(1, "909955422195631400000 and 18446744073709551616"), (2, "0.0000005 0.0078125 7"), (2, "7.0 8"), (3, "8")]
+    allowed = [(1, "18446744073709551616.0 and 0.007812"), (1, "0.0000001")]
+    got = against_sql(spark, tmp_path, "numeral_verify", {"documents": ("doc_id", documents), "benchmark": ("item_id", allowed)})
+    assert got == [("1", "7"), ("1", "909955422195631390720"), ("2", "8")]
